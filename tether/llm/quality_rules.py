@@ -175,15 +175,15 @@ def cutoffs(sketches: DataFrame, min_group: int = 200) -> DataFrame:
         )
     )
     cut = F.struct(*[F.col(m.name) for m in MEASURES])
-    groups = fences.where("level = 0").select(F.col("l").alias("lang"), F.col("s").alias("source"), "total", cut.alias("c0"))
-    langs = fences.where("level = 1").select(F.col("l").alias("l1"), F.col("total").alias("t1"), cut.alias("c1"))
-    whole = fences.where("level = 2").select(F.lit(1).alias("one"), cut.alias("c2"))
-    chosen = F.when(F.col("total") >= min_group, F.col("c0")).when(F.col("t1") >= min_group, F.col("c1")).otherwise(F.col("c2"))
+    tried = fences.where("level = 0").select(F.col("l").alias("lang"), F.col("s").alias("source")).select(
+        "lang", "source", F.explode(levels).alias("k")
+    )
+    same = (F.col("k.level") == F.col("level")) & F.col("k.l").eqNullSafe(F.col("l")) & F.col("k.s").eqNullSafe(F.col("s"))
     return (
-        groups.join(langs, F.col("lang").eqNullSafe(F.col("l1")))
-        .withColumn("one", F.lit(1))
-        .join(whole, "one")
-        .select("lang", "source", chosen.alias("cut"))
+        tried.join(fences, same)
+        .where((F.col("total") >= min_group) | (F.col("level") == 2))
+        .groupBy("lang", "source")
+        .agg(F.min(F.struct("level", F.struct(*[m.name for m in MEASURES]).alias("cut")))["cut"].alias("cut"))
     )
 
 
