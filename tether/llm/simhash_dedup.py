@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +35,9 @@ BITS = 64
 #: Classes in a shard from which it is divided once more.
 SHARD = 2000
 #: Node pairs that are walked at once.
-FRONTIER = 1 << 20
+FRONTIER = 1 << 18
+#: Classes that a task joins at a time, rounded up to whole shards.
+CHUNK = 1 << 17
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -82,18 +83,22 @@ def _block_value(fp: str, bits: list[int]) -> str:
     return f"(shiftrightunsigned({fp}, {bits[0]}) & {(1 << len(bits)) - 1}L)"
 
 
-def trie_join(values: np.ndarray, most: int = MOST) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of positions (i < j) in values (sorted, distinct uint64) that differ in at most ``most`` bits.
+def trie_join(values: np.ndarray, most: int = MOST, starts: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of positions (i < j) in values (distinct uint64) that differ in at most ``most`` bits.
 
-    A node is a run of values with a common prefix. Pairs of nodes are kept as arrays of run bounds, and walked depth
+    values are one sorted trie, or several that begin at ``starts`` and are joined each with itself. A node is a run of values with a common prefix. Pairs of nodes are kept as arrays of run bounds, and walked depth
     first in pieces of FRONTIER pairs, so memory is bounded whatever the number of pairs.
     """
     n = len(values)
     if n < 2:
         return
-    tops = [np.array([[0, n, 0, n, 0, BITS - 1]], np.int64)]
+    at = np.zeros(1, np.int64) if starts is None else starts
+    ends = np.append(at[1:], n)
+    tops = [np.stack([at, ends, at, ends, np.zeros_like(at), np.full_like(at, BITS - 1)], 1)[ends - at > 1]]
     while tops:
         pairs = tops.pop()
+        if not len(pairs):
+            continue
         if len(pairs) > FRONTIER:
             tops += [pairs[FRONTIER:], pairs[:FRONTIER]]
             continue
@@ -151,15 +156,37 @@ class Forest:
                 self.links.append((i, j))
 
 
-def _shard_links(shard: pd.DataFrame) -> pd.DataFrame:
-    fps = shard["fp"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(fps)
-    values, reps = fps[order], shard["rep"].to_numpy()[order]
-    forest = Forest(len(values))
-    for i, j in trie_join(values):
+def _forest_links(keys: np.ndarray, fps: np.ndarray, reps: np.ndarray) -> np.ndarray:
+    """Links between reps, as rows (a, b), that span the linked classes of every shard."""
+    order = np.lexsort((fps, keys))
+    keys, fps, reps = keys[order], fps[order], reps[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    forest = Forest(len(fps))
+    for i, j in trie_join(fps, starts=starts):
         forest.join(zip(i.tolist(), j.tolist(), strict=True))
-    links = np.array(forest.links, np.int64).reshape(-1, 2)
-    return pd.DataFrame({"a": reps[links[:, 0]], "b": reps[links[:, 1]]})
+    return reps[np.array(forest.links, np.int64).reshape(-1, 2)]
+
+
+def _shard_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, fp, rep) in the order of key to links (a, b), a chunk of whole shards at a time."""
+
+    def links(rows: np.ndarray) -> pa.RecordBatch:
+        found = _forest_links(rows[0], rows[1].view(np.uint64), rows[2])
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    held: list[np.ndarray] = []
+    n = 0
+    for batch in batches:
+        held.append(np.stack([c.to_numpy() for c in batch.columns]))
+        n += batch.num_rows
+        if n >= CHUNK:
+            rows = np.concatenate(held, axis=1)
+            cut = int(np.searchsorted(rows[0], rows[0, -1]))  # the last shard may go on
+            if cut:
+                yield links(np.ascontiguousarray(rows[:, :cut]))
+            held, n = [rows[:, cut:]], 0
+    if held and held[0].shape[1] + n:
+        yield links(np.concatenate(held, axis=1))
 
 
 def near_links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
@@ -179,9 +206,15 @@ def near_links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
         sub = [F.struct(F.lit(i).alias("k2"), F.expr(_block_value(closed, b)).alias("v2")) for i, b in enumerate(blocks(list(range(len(rest))), parts))]
         again.append(F.when((F.col("k") == k) & F.col("crowded"), F.array(*sub)))
     once = F.array(F.struct(F.lit(-1).alias("k2"), F.lit(0).cast("long").alias("v2")))
-    placed = dealt.select("fp", "rep", "k", "v", F.explode(F.coalesce(*again, once)).alias("y")).select("fp", "rep", "k", "v", "y.k2", "y.v2")
-    # a shard of one class has no pair
-    return placed.groupBy("k", "v", "k2", "v2").applyInPandas(_shard_links, "a long, b long").distinct()
+    placed = dealt.select("fp", "rep", "k", "v", F.explode(F.coalesce(*again, once)).alias("y"))
+    key = F.expr("shiftleft(k * 8L + y.k2 + 1, 40) | shiftleft(v, 20) | y.v2")
+    return (
+        placed.select(key.alias("key"), "fp", "rep")
+        .repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_shard_links, "a long, b long")
+        .distinct()
+    )
 
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
