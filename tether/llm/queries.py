@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, url_filters
+from . import mixing, quality_rules, simhash_dedup, token_counts, token_output, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_counts": token_counts.query,
         "op2_quality_rules": quality_rules.query,
         "op4_url_filters": url_filters.query,
         "op6_mixing": mixing.query,
+        "op7_token_output": token_output.query,
+        "op10_simhash_near_dedup": simhash_dedup.query,
     }
 
 
