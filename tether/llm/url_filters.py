@@ -147,3 +147,39 @@ def url_filters(pages: DataFrame, labels: DataFrame, rules=RULES, support: float
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def _oracle(support: float = 0.005, confidence: float = 0.6, rules=RULES) -> str:
+    longest = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1:]))
+    fit = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    rule = " ".join(f"WHEN {fit(h, p)} THEN '{h + p}'" for _, h, p in longest)
+    said = " ".join(f"WHEN {fit(h, p)} THEN '{v}'" for v, h, p in longest)
+    # sets of one to three tokens, in order, of every labelled url
+    return f"""WITH u AS (SELECT row_number() OVER () AS rid, page_id, coalesce(url, '') AS url FROM pages),
+h AS (SELECT *, translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '{UPPER}', '{LOWER}') AS host,
+  regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM u),
+t AS (SELECT DISTINCT rid, token FROM (
+  SELECT rid, 'host:' || unnest(string_split(host, '.')) AS token FROM h
+  UNION ALL SELECT rid, 'path:' || unnest(string_split(regexp_replace(path, '[0-9]+', '0', 'g'), '/')) FROM h
+  UNION ALL SELECT rid, 'query:' || unnest(string_split(regexp_extract(url, '\\?([^#]*)', 1, 's'), '&')) FROM h
+  UNION ALL SELECT rid, 'fragment:' || regexp_extract(url, '#(.*)$', 1, 's') FROM h)
+  WHERE NOT ends_with(token, ':') OR length(token) > 9),
+l AS (SELECT rid, bad FROM h JOIN (SELECT doc_id, bool_or(toxic = 1 OR quality = 0) AS bad FROM labels GROUP BY doc_id) b
+  ON h.page_id = b.doc_id WHERE bad IS NOT NULL),
+lt AS (SELECT t.rid, token, bad FROM t JOIN l ON t.rid = l.rid),
+n AS (SELECT count(DISTINCT rid) AS total FROM lt),
+f AS (SELECT token FROM lt GROUP BY token HAVING count(*) >= {support} * (SELECT total FROM n)),
+ft AS (SELECT lt.* FROM lt JOIN f ON lt.token = f.token),
+sets AS (SELECT rid, bad, [token] AS s FROM ft
+  UNION ALL SELECT a.rid, a.bad, [a.token, b.token] FROM ft a JOIN ft b ON a.rid = b.rid AND a.token < b.token
+  UNION ALL SELECT a.rid, a.bad, [a.token, b.token, c.token] FROM ft a JOIN ft b ON a.rid = b.rid AND a.token < b.token
+    JOIN ft c ON a.rid = c.rid AND b.token < c.token),
+rules AS (SELECT s FROM sets GROUP BY s HAVING count(*) >= {support} * (SELECT total FROM n)
+  AND sum(bad::INTEGER) >= {confidence} * count(*) AND sum(bad::INTEGER) >= {support * confidence} * (SELECT total FROM n)),
+held AS (SELECT rid, list(token) AS tokens FROM t GROUP BY rid),
+hit AS (SELECT DISTINCT rid FROM held, rules WHERE list_has_all(tokens, s))
+SELECT page_id, host, path, CASE {rule} END AS rule,
+  CASE {said} WHEN hit.rid IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict FROM h LEFT JOIN hit ON h.rid = hit.rid"""
+
+
+ORACLE = _oracle()
