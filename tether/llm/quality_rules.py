@@ -197,7 +197,9 @@ def judge(measured: DataFrame, cuts: DataFrame) -> DataFrame:
     verdict = inside[0]
     for x in inside[1:]:
         verdict = verdict & x
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(verdict, F.lit(True))).drop("__lang", "__source", "cut")
+    # one expression over both sides of the join: a part of it pushed below would repeat the costly measures
+    kept = F.when(F.coalesce(verdict, F.lit(True)), ~F.col("base_failed")).otherwise(F.lit(False))
+    return joined.withColumn("kept", kept).drop("__lang", "__source", "cut")
 
 
 COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -215,7 +217,8 @@ def keep_good(docs: DataFrame, min_group: int = 200) -> DataFrame:
 
     Texts are measured twice, once for the sketches and once to filter, so that no text is shuffled or written.
     """
-    cuts = materialize(cutoffs(sketch(measure(docs)), min_group), "quality-cutoffs")
+    measured = materialize(measure(docs, ("lang", "source")), "quality-measures")
+    cuts = materialize(cutoffs(sketch(measured), min_group), "quality-cutoffs")
     whole = docs.select(F.struct("*").alias("__row"), "doc_id", "text", "lang", "source")
     return judge(measure(whole, ("__row", "lang", "source")), cuts).where("kept").select("__row.*")
 
