@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .tokenize import PieceCounts
+from .tokenize import WHOLE, PieceCounts
 
 MODEL = "piece_bpe_32k.model"
 #: Words a task may hold while it counts; beyond, the rarest go, which can only thin out tier one.
@@ -54,7 +54,7 @@ def frequent_words(docs: DataFrame, share: float = 5e-5, table_words: int = 30_0
 def token_counts(docs: DataFrame, path: str, limit: int = 4096, share: float = 5e-5, table_words: int = 30_000) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) of every row of docs."""
     words = frequent_words(docs, share, table_words)
-    lengths = {w: n for w, n in zip(words, PieceCounts(path).encode_words(words), strict=True) if n is not None}
+    lengths = {w: n for w, n in zip(words, PieceCounts(path).encode_words(words), strict=True) if n != WHOLE}
     tier_one = docs.sparkSession.sparkContext.broadcast(lengths)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
