@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -20,3 +23,17 @@ def local_session(cores: str | int = "*", partitions: int = 8, app: str = "tethe
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers of the session, once, so that they need no copy of the repository."""
+    context = spark.sparkContext
+    if getattr(context, "_tether_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    folder = Path(tempfile.mkdtemp(prefix="tether-package-"))
+    with zipfile.ZipFile(folder / "tether_package.zip", "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(folder / "tether_package.zip"))
+    context._tether_shipped = True
