@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import relational
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+MODULES = (relational,)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: q for m in MODULES for name, q in m.R.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: q for m in MODULES for name, q in m.R.sql.items()}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queries()["jn_9"](spark, sf_dir)
