@@ -105,7 +105,11 @@ def token_hash(token: Column) -> Column:
 def minhash_signature(tokens: Column, n: int = 64) -> Column:
     """Least salted hash of the tokens for each salt; zeros without tokens."""
     hashes = F.transform(tokens, token_hash)
-    least = F.array(*[F.array_min(F.transform(hashes, lambda h, s=s: h.bitwiseXOR(F.lit(s)))) for s in salts(n)])
+
+    def salted(s: int):
+        return lambda h: h.bitwiseXOR(F.lit(s))
+
+    least = F.array(*[F.array_min(F.transform(hashes, salted(s))) for s in salts(n)])
     return F.when(F.size(tokens) == 0, F.array_repeat(F.lit(0).cast("long"), n)).otherwise(least)
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import relational
+from . import linking, relational
 
-MODULES = (relational,)
+MODULES = (relational, linking)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
