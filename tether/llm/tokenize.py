@@ -19,15 +19,15 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bounds of a worker's cache; it starts anew beyond them.
-MAX_WORDS, MAX_CHARS = 700_000, 16_000_000
+MAX_WORDS, MAX_CHARS = 1_000_000, 20_000_000
 #: Characters of text whose unknown words are encoded in one call.
-STRETCH = 2_000_000
+STRETCH = 200_000
 #: The value of words that need their text encoded whole.
 WHOLE = "whole"
 #: Ends a piece in what tiktoken gets; texts that hold it are encoded whole.
 MARK = "\x01"
 #: New words in one call of tiktoken.
-CALL = 2000
+CALL = 1000
 
 
 class _Words:
