@@ -39,15 +39,19 @@ def jaro(a: str, b: str) -> float:
     return (n / len(a) + n / len(b) + (n - swapped) / n) / 3
 
 
+#: Pairs that this worker has computed; it starts anew beyond the bound.
+_known: dict[tuple[str, str], float] = {}
+_MOST_KNOWN = 300_000
+
+
 @pandas_udf(DoubleType())
 def _jaro(a: pd.Series, b: pd.Series) -> pd.Series:
-    known: dict[tuple[str, str], float] = {}
-    out = []
-    for pair in zip(a, b, strict=True):
-        if pair not in known:
-            known[pair] = jaro(*pair)
-        out.append(known[pair])
-    return pd.Series(out, dtype="float64")
+    if len(_known) > _MOST_KNOWN:
+        _known.clear()
+    pairs = list(zip(a, b, strict=True))
+    for pair in set(pairs).difference(_known):
+        _known[pair] = jaro(*pair)
+    return pd.Series([_known[p] for p in pairs], dtype="float64")
 
 
 def jaro_similarity(a: Column, b: Column) -> Column:
@@ -57,7 +61,11 @@ def jaro_similarity(a: Column, b: Column) -> Column:
 
 def jaro_winkler(a: Column, b: Column, p: float = 0.1, most: int = 4) -> Column:
     """Jaro similarity raised by the length of the common start, however low it is."""
-    x, y = T.norm(a), T.norm(b)
+    return jaro_winkler_normed(T.norm(a), T.norm(b), p, most)
+
+
+def jaro_winkler_normed(x: Column, y: Column, p: float = 0.1, most: int = 4) -> Column:
+    """jaro_winkler of texts that norm has already been applied to."""
     j = _jaro(T.norm(x), T.norm(y))
     start = F.lit(0)
     for k in range(1, most + 1):
@@ -72,7 +80,11 @@ def levenshtein_dist(a: Column, b: Column) -> Column:
 
 def lev_sim(a: Column, b: Column) -> Column:
     """One less the edit distance over the longer length."""
-    x, y = T.norm(a), T.norm(b)
+    return lev_sim_normed(T.norm(a), T.norm(b))
+
+
+def lev_sim_normed(x: Column, y: Column) -> Column:
+    """lev_sim of texts that norm has already been applied to."""
     longest = F.greatest(F.length(x), F.length(y))
     return (
         F.when(longest == 0, F.lit(1.0))

@@ -55,18 +55,28 @@ def neighbourhood(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     return _pairs(a.join(near, "k"), name, F.col("k"))
 
 
-def token_overlaps(left: DataFrame, right: DataFrame, state: str = "state", tokens: str = "tokens") -> DataFrame:
-    """left_id, right_id, sim (Jaccard) of all pairs in a state that share a token: an equi-join on (state, token)."""
-    side = lambda df, s: df.select(
-        F.col("id").alias(f"{s}_id"), F.col(state).alias("state"), F.size(tokens).alias(f"{s}_n"), F.explode(tokens).alias("token")
-    )
-    return (
-        side(left, "left")
-        .join(side(right, "right"), ["state", "token"])
-        .groupBy("left_id", "right_id", "left_n", "right_n")
-        .agg(F.count("*").alias("both"))
-        .select("left_id", "right_id", (F.col("both") / (F.col("left_n") + F.col("right_n") - F.col("both"))).alias("sim"))
-    )
+def token_overlaps(left: DataFrame, right: DataFrame, least: float = 0.0) -> DataFrame:
+    """left_id, right_id, sim: Jaccard of all pairs of (id, state, tokens) rows in a state that share a token and reach ``least``.
+
+    An equi-join on (state, token) over prefixes: with tokens in order of rarity, two sets of similarity ``least`` share
+    one of the first n - ceil(least * n) + 1 tokens of either, so the frequent tokens, which would pair everything with
+    everything, are not joined at all. No pair is lost.
+    """
+    counts = left.select(F.explode("tokens").alias("token")).union(right.select(F.explode("tokens"))).groupBy("token").agg(F.count("*").alias("df"))
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        ranked = df.select("id", "state", "tokens", F.explode("tokens").alias("token")).join(counts, "token")
+        sorted_ = ranked.groupBy("id", "state", "tokens").agg(F.sort_array(F.collect_list(F.struct("df", "token")))["token"].alias("rare"))
+        n = F.size("rare")
+        # a little below the product, so that rounding never shortens a prefix
+        first = F.slice("rare", 1, F.greatest(n - F.ceil(n * least - 1e-9) + 1, F.lit(1)).cast("int"))
+        return sorted_.select(F.col("id").alias(f"{s}_id"), "state", F.col("tokens").alias(f"{s}_tokens"), F.explode(F.array_distinct(first)).alias("token"))
+
+    met = side(left, "left").join(side(right, "right"), ["state", "token"])
+    both = F.size(F.array_intersect("left_tokens", "right_tokens"))
+    sim = both / (F.size("left_tokens") + F.size("right_tokens") - both)
+    near = met.select("left_id", "right_id", sim.alias("sim")).where((F.col("sim") >= least) & (F.col("sim") > 0))
+    return near.distinct()
 
 
 def canopy(left: DataFrame, right: DataFrame, loose: float = 0.6, tight: float = 0.8, most: int = 200) -> DataFrame:
@@ -76,7 +86,7 @@ def canopy(left: DataFrame, right: DataFrame, loose: float = 0.6, tight: float =
     the most similar first, ties by right id. Rows with a blank state or without tokens have none.
     """
     usable = lambda df: df.where((F.coalesce(F.col("state"), F.lit("")) != "") & (F.size("tokens") > 0))
-    near = token_overlaps(usable(left), usable(right)).where(F.col("sim") >= loose)
+    near = token_overlaps(usable(left), usable(right), loose)
     own = W.partitionBy("left_id")
     best = near.withColumn("best", F.max("sim").over(own)).where((F.col("best") < tight) | (F.col("sim") >= tight))
     ranked = best.withColumn("r", F.row_number().over(own.orderBy(F.desc("sim"), "right_id"))).where(F.col("r") <= most)
@@ -85,7 +95,7 @@ def canopy(left: DataFrame, right: DataFrame, loose: float = 0.6, tight: float =
 
 def canopy_scores(left: DataFrame, right: DataFrame, threshold: float = 0.6) -> DataFrame:
     """left_id, right_id, sim from ``threshold`` up, uncapped; blank states match, and so do two empty token lists."""
-    near = token_overlaps(left, right).where(F.col("sim") >= threshold)
+    near = token_overlaps(left, right, threshold)
     bare = lambda df, s: df.where(F.size("tokens") == 0).select(F.col("id").alias(f"{s}_id"), "state")
     both_empty = bare(left, "left").join(bare(right, "right"), "state").select("left_id", "right_id", F.lit(1.0).alias("sim"))
     return near.unionByName(both_empty)

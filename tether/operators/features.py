@@ -15,16 +15,35 @@ def _full(side: str) -> Column:
     return T.strip(F.concat(F.coalesce(F.col(f"{side}_first"), F.lit("")), F.lit(" "), F.coalesce(F.col(f"{side}_last"), F.lit(""))))
 
 
-def with_vectors(pairs: DataFrame, weights: DataFrame) -> DataFrame:
-    """pairs with full names and their word and character vectors, computed once for each distinct name."""
-    named = pairs.withColumns({"b_full": _full("b"), "x_full": _full("x")})
-    names = named.select(F.col("b_full").alias("name")).union(named.select("x_full")).distinct()
-    words = S.tfidf_vectors(names, "name", F.col("name"), weights)
-    grams = S.char3_vectors(names, "name", F.col("name"))
-    both = words.withColumnRenamed("vec", "words").join(grams.withColumnRenamed("vec", "grams"), "name")
+def with_vectors(pairs: DataFrame, weights: DataFrame | None) -> DataFrame:
+    """pairs with what its features need of each name, computed once for each distinct name and joined.
+
+    Of full and last names: the normalised text, its token set, whether it marks an organisation, its suffix and its
+    phonetic code; of full names also word and character vectors (weights: token, idf), unless weights is None.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    named = pairs.withColumns({"b_full": _full("b"), "x_full": _full("x"), "__b_last": text("b_last"), "__x_last": text("x_last")})
+    names = named.select(F.explode(F.array("b_full", "x_full", "__b_last", "__x_last")).alias("name")).distinct()
+    of = names.select("name", T.norm(F.col("name")).alias("n")).select("name", "n", F.array_remove(F.split("n", " "), "").alias("words"))
+    known = of.select(
+        "name",
+        F.struct(
+            F.col("n"),
+            F.array_distinct("words").alias("tokens"),
+            F.arrays_overlap("words", F.array(*[F.lit(w) for w in T.ORGANISATION_WORDS])).alias("org"),
+            T.suffix_token(F.col("name")).alias("suffix"),
+            T.soundex(F.col("name")).alias("sound"),
+        ).alias("of"),
+    )
+    if weights is not None:
+        words = S.tfidf_vectors(names, "name", F.col("name"), weights).withColumnRenamed("vec", "words")
+        grams = S.char3_vectors(names, "name", F.col("name")).withColumnRenamed("vec", "grams")
+        known = known.join(words, "name").join(grams, "name")
+    extra = [c for c in ("words", "grams") if c in known.columns]
     for side in ("b", "x"):
-        of = both.select(F.col("name").alias(f"{side}_full"), F.col("words").alias(f"{side}_words"), F.col("grams").alias(f"{side}_grams"))
-        named = named.join(of, f"{side}_full")
+        whole = known.select(F.col("name").alias(f"{side}_full"), F.col("of").alias(f"{side}_f"), *[F.col(c).alias(f"{side}_{c}") for c in extra])
+        last = known.select(F.col("name").alias(f"__{side}_last"), F.col("of").alias(f"{side}_l"))
+        named = named.join(whole, f"{side}_full").join(last, f"__{side}_last")
     return named
 
 
@@ -33,19 +52,19 @@ def feature_columns() -> dict[str, Column]:
     c = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
     flag = lambda cond: cond.cast("int")
     both = lambda f: (c(f"b_{f}") != "") & (c(f"x_{f}") != "")
-    org = {s: (T.is_org_like(c(f"{s}_last")) == 1) | (T.is_org_like(c(f"{s}_full")) == 1) for s in ("b", "x")}
-    suffix = {s: F.coalesce(F.nullif(T.norm(c(f"{s}_suffix")), F.lit("")), T.suffix_token(c(f"{s}_full"))) for s in ("b", "x")}
-    sound = {s: T.soundex(c(f"{s}_last")) for s in ("b", "x")}
+    two = lambda f, part, of: f(F.col(f"b_{of}.{part}"), F.col(f"x_{of}.{part}"))
+    org = {s: F.col(f"{s}_l.org") | F.col(f"{s}_f.org") for s in ("b", "x")}
+    suffix = {s: F.coalesce(F.nullif(T.norm(c(f"{s}_suffix")), F.lit("")), F.col(f"{s}_f.suffix")) for s in ("b", "x")}
     initial = {s: T.norm_initial(c(f"{s}_first")) for s in ("b", "x")}
     streets = [T.street_simplify(c(f"{s}_street1")) for s in ("b", "x")]
     out = {
-        "sim_jw_fullname": S.jaro_winkler(c("b_full"), c("x_full")),
-        "sim_jw_lastname": S.jaro_winkler(c("b_last"), c("x_last")),
-        "sim_lev_fullname": S.lev_sim(c("b_full"), c("x_full")),
-        "sim_lev_lastname": S.lev_sim(c("b_last"), c("x_last")),
-        "sim_soundex_last": flag((sound["b"] != "") & (sound["b"] == sound["x"])),
-        "sim_jacc_fullname": S.token_jaccard(c("b_full"), c("x_full")),
-        "sim_jacc_lastname": S.token_jaccard(c("b_last"), c("x_last")),
+        "sim_jw_fullname": two(S.jaro_winkler_normed, "n", "f"),
+        "sim_jw_lastname": two(S.jaro_winkler_normed, "n", "l"),
+        "sim_lev_fullname": two(S.lev_sim_normed, "n", "f"),
+        "sim_lev_lastname": two(S.lev_sim_normed, "n", "l"),
+        "sim_soundex_last": flag((F.col("b_l.sound") != "") & (F.col("b_l.sound") == F.col("x_l.sound"))),
+        "sim_jacc_fullname": two(S.overlap_ratio, "tokens", "f"),
+        "sim_jacc_lastname": two(S.overlap_ratio, "tokens", "l"),
         "sim_tfidf_name": S.cosine(F.col("b_words"), F.col("x_words")),
         "sim_char3_name": S.cosine(F.col("b_grams"), F.col("x_grams")),
         "first_initial_match": flag((initial["b"] != "") & (initial["b"] == initial["x"])),
@@ -82,7 +101,8 @@ def feature_rows(pairs: DataFrame, weights: DataFrame, only: list[str] | None =
     """pairs with one column per feature. Input columns that pairs lacks count as empty; weights: token, idf."""
     full = pairs.withColumns({n: F.lit(None).cast("string") for n in _INPUTS if n not in pairs.columns})
     made = feature_columns()
-    rows = with_vectors(full, weights).withColumns({n: made[n] for n in only or FEATURES})
+    vectors = {"sim_tfidf_name", "sim_char3_name"} & set(only or FEATURES)
+    rows = with_vectors(full, weights if vectors else None).withColumns({n: made[n] for n in only or FEATURES})
     return rows.select(*pairs.columns, *(only or FEATURES))
 
 

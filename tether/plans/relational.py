@@ -344,7 +344,7 @@ def token_sides(spark, d):
 
 @R.add("jn_9", f"SELECT left_id, right_id, round(sim, 9) AS sim FROM ({JACCARD_SQL}) t WHERE sim >= 0.6")
 def _(spark, d):
-    return blocking.token_overlaps(*token_sides(spark, d)).where("sim >= 0.6").select("left_id", "right_id", F.round("sim", 9).alias("sim"))
+    return blocking.token_overlaps(*token_sides(spark, d), 0.6).select("left_id", "right_id", F.round("sim", 9).alias("sim"))
 
 
 @R.add("jn_11", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
