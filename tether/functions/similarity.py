@@ -160,9 +160,8 @@ def char3_vectors(df: DataFrame, key: str, text: Column) -> DataFrame:
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two unit maps, from 0 to 1."""
-    dot = F.aggregate(
-        F.map_entries(a), F.lit(0.0), lambda s, e: s + F.coalesce(e["value"] * F.try_element_at(b, e["key"]), F.lit(0.0))
-    )
+    common = F.array_intersect(F.map_keys(a), F.map_keys(b))
+    dot = F.aggregate(common, F.lit(0.0), lambda s, k: s + F.element_at(a, k) * F.element_at(b, k))
     return (
         F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0))
         .when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0))

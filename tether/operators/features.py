@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..functions import text as T
+from ..sources.io import materialize
 
 SIDES = ("first", "last", "street1", "city", "state", "zip5")
 
@@ -23,7 +24,10 @@ def with_vectors(pairs: DataFrame, weights: DataFrame | None) -> DataFrame:
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     named = pairs.withColumns({"b_full": _full("b"), "x_full": _full("x"), "__b_last": text("b_last"), "__x_last": text("x_last")})
-    names = named.select(F.explode(F.array("b_full", "x_full", "__b_last", "__x_last")).alias("name")).distinct()
+    named = named.withColumns(
+        {f"__{s}_street": T.norm(T.street_simplify(text(f"{s}_street1"))) for s in ("b", "x")} | {f"__{s}_city": T.norm(text(f"{s}_city")) for s in ("b", "x")}
+    )
+    names = materialize(named.select(F.explode(F.array("b_full", "x_full", "__b_last", "__x_last")).alias("name")).distinct())
     of = names.select("name", T.norm(F.col("name")).alias("n")).select("name", "n", F.array_remove(F.split("n", " "), "").alias("words"))
     known = of.select(
         "name",
@@ -39,6 +43,7 @@ def with_vectors(pairs: DataFrame, weights: DataFrame | None) -> DataFrame:
         words = S.tfidf_vectors(names, "name", F.col("name"), weights).withColumnRenamed("vec", "words")
         grams = S.char3_vectors(names, "name", F.col("name")).withColumnRenamed("vec", "grams")
         known = known.join(words, "name").join(grams, "name")
+    known = materialize(known)
     extra = [c for c in ("words", "grams") if c in known.columns]
     for side in ("b", "x"):
         whole = known.select(F.col("name").alias(f"{side}_full"), F.col("of").alias(f"{side}_f"), *[F.col(c).alias(f"{side}_{c}") for c in extra])
@@ -56,7 +61,6 @@ def feature_columns() -> dict[str, Column]:
     org = {s: F.col(f"{s}_l.org") | F.col(f"{s}_f.org") for s in ("b", "x")}
     suffix = {s: F.coalesce(F.nullif(T.norm(c(f"{s}_suffix")), F.lit("")), F.col(f"{s}_f.suffix")) for s in ("b", "x")}
     initial = {s: T.norm_initial(c(f"{s}_first")) for s in ("b", "x")}
-    streets = [T.street_simplify(c(f"{s}_street1")) for s in ("b", "x")]
     out = {
         "sim_jw_fullname": two(S.jaro_winkler_normed, "n", "f"),
         "sim_jw_lastname": two(S.jaro_winkler_normed, "n", "l"),
@@ -71,8 +75,10 @@ def feature_columns() -> dict[str, Column]:
         "state_match": flag(both("state") & (T.norm(c("b_state")) == T.norm(c("x_state")))),
         "zip_match": flag(both("zip5") & (T.norm(c("b_zip5")) == T.norm(c("x_zip5")))),
         "zip3_match": flag(both("zip5") & (T.zip3(c("b_zip5")) != "") & (T.zip3(c("b_zip5")) == T.zip3(c("x_zip5")))),
-        "sim_jw_city": S.jaro_winkler(c("b_city"), c("x_city")),
-        "sim_jw_street1": F.when((c("b_street1") == "") & (c("x_street1") == ""), F.lit(0.0)).otherwise(S.jaro_winkler(*streets)),
+        "sim_jw_city": S.jaro_winkler_normed(F.col("__b_city"), F.col("__x_city")),
+        "sim_jw_street1": F.when((c("b_street1") == "") & (c("x_street1") == ""), F.lit(0.0)).otherwise(
+            S.jaro_winkler_normed(F.col("__b_street"), F.col("__x_street"))
+        ),
         "org_keyword_match": flag(org["b"] & org["x"]),
         "org_vs_person_conflict": flag(org["b"] != org["x"]),
         "credential_overlap": S.overlap_ratio(T.credential_tokens(c("b_cred")), T.credential_tokens(c("x_cred"))),

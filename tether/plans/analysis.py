@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate, features, learning, profile, serve
 from . import pipeline, roles
-from .linking import LEFT, PAIRS, RIGHT, all_candidates, jaccard_sql, lev_sql, set_sql, weights
+from .linking import LEFT, PAIRS, RIGHT, all_candidates, jaccard_sql, lev_sql, pairs, set_sql, weights
 from .registry import Registry
 from .relational import BUCKET_SQL, UPPER_PAIRS, upper_pairs
 from .roles import table
@@ -202,7 +202,7 @@ def _(spark, d):
 
 def labelled(spark, d, only=None):
     """Feature rows of the labelled pairs, with y and the features; one row a pair."""
-    rows = features.feature_rows(roles.role(spark, d, PAIRS), weights(spark, d), only)
+    rows = features.feature_rows(pairs(spark, d), weights(spark, d), only)
     own = rows.withColumn("y", features.weak_label(F.col("left_npi"), F.col("right_id"))).where("y IS NOT NULL")
     return own.select("left_id", "right_id", "y", *(only or features.FEATURES)).dropDuplicates(["left_id", "right_id"])
 
@@ -493,7 +493,7 @@ def _(spark, d):
 def _(spark, d):
     from ..functions import text as T
 
-    rows = features.feature_rows(roles.role(spark, d, PAIRS), weights(spark, d), ["org_vs_person_conflict"])
+    rows = features.feature_rows(pairs(spark, d), weights(spark, d), ["org_vs_person_conflict"])
     return rows.where((T.is_org_like(F.col("b_last")) == 1) | (F.col("org_vs_person_conflict") == 0)).select("left_id", "right_id").distinct()
 
 

@@ -25,7 +25,8 @@ def right(spark, d):
 
 
 def pairs(spark, d):
-    return roles.role(spark, d, PAIRS)
+    """The candidate pairs, dealt over all cores: they come from a join of one small file, which is one task."""
+    return roles.role(spark, d, PAIRS).repartition(spark.sparkContext.defaultParallelism)
 
 
 def norm_sql(c: str) -> str:

@@ -21,6 +21,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/tether-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back, for results that a plan would compute several times."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str], types: dict[str, str] | None = None) -> DataFrame:
     """A CSV file with header, all columns read as text (ids keep their zeros), then cast; cells that do not fit are null.
 
