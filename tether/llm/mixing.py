@@ -58,16 +58,42 @@ def _class(size: Column) -> Column:
     return (e * 16 + F.expr("shiftright(__size, greatest(length(bin(__size)) - 5, 0))")).cast("int")
 
 
-def _offset(source: Column) -> Column:
-    """The random start of a source, from 0 to 1."""
-    return F.conv(F.substring(F.md5(F.coalesce(source, F.lit("\x00"))), 1, 8), 16, 10).cast("double") / 4294967296.0
+#: Offsets that are tried for each source.
+OFFSETS = 64
 
 
-def mix(docs: DataFrame, size: Column | None = None, weights: tuple[float, ...] = WEIGHTS, most: int = 3) -> DataFrame:
-    """docs with size, source_size, target, copies and taken (copies times size)."""
+def _offset(source: Column, number: int) -> Column:
+    """A random start of a source, from 0 to 1."""
+    text = F.concat(F.coalesce(source, F.lit("\x00")), F.lit(f"|{number}"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / 4294967296.0
+
+
+def _crossed(offset: Column, most: int) -> Column:
+    """Integers between the running sums of expected copies before and after a document."""
+    at = F.col("__start") + F.col("__rank")
+    n = F.floor(offset + F.col("__rate") * (at + 1)) - F.floor(offset + F.col("__rate") * at)
+    return F.greatest(F.least(n, F.lit(most)), F.lit(0)).cast("long")
+
+
+def _sized(docs: DataFrame, size: Column) -> DataFrame:
+    """docs with __size, its __class and the document's __block."""
     block = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 2), 16, 10).cast("int") % BLOCKS
-    sized = docs.withColumn("__size", n_words(F.col("text")) if size is None else size.cast("long"))
-    sized = sized.withColumns({"__class": _class(F.col("__size")), "__block": block})
+    return docs.withColumn("__size", size.cast("long")).withColumns({"__class": _class(F.col("__size")), "__block": block})
+
+
+def _ranked(sized: DataFrame, starts: DataFrame) -> DataFrame:
+    """sized with its place among the documents of its source."""
+    rank = F.row_number().over(W.partitionBy("source", "__class", "__block").orderBy("__size", "doc_id")) - 1
+    same = sized["source"].eqNullSafe(F.col("__s")) & (F.col("__class") == F.col("__c")) & (F.col("__block") == F.col("__b"))
+    return sized.withColumn("__rank", rank).join(starts, same).drop("__s", "__c", "__b")
+
+
+def plan(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3) -> DataFrame:
+    """For every block of documents: where it starts in its source, and the source's size, target, rate and offset.
+
+    sizes: doc_id, source, size; it is read more than once.
+    """
+    sized = _sized(sizes, F.col("size"))
     blocks = sized.groupBy("source", "__class", "__block").agg(F.count("*").alias("n"), F.sum("__size").alias("s"))
     blocks = materialize(blocks, "mix-blocks")
     preceding = lambda *keys: W.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(W.unboundedPreceding, -1)
@@ -79,43 +105,57 @@ def mix(docs: DataFrame, size: Column | None = None, weights: tuple[float, ...]
         .select("source", "__class", "__before")
     )
     targets = source_targets(blocks.groupBy("source").agg(F.sum("s").alias("source_size")), weights, most)
-    same = lambda a, b, keys: [a[k].eqNullSafe(b[k]) for k in keys]
-    starts = classes.join(targets, same(classes, targets, ["source"])).select(
-        classes["source"].alias("__s"), F.col("__class").alias("__c"), "__before", "source_size", "target", "rate"
+    starts = classes.join(targets, classes["source"].eqNullSafe(targets["source"])).select(
+        classes["source"].alias("__s"),
+        F.col("__class").alias("__c"),
+        "__before",
+        F.col("source_size").alias("__source_size"),
+        F.col("target").alias("__target"),
+        F.col("rate").alias("__rate"),
     )
     within = blocks.withColumn("__in", before("source", "__class", "__block"))
     starts = within.join(starts, within["source"].eqNullSafe(F.col("__s")) & (F.col("__class") == F.col("__c"))).select(
-        "__s", "__c", F.col("__block").alias("__b"), (F.col("__before") + F.col("__in")).alias("__start"), "source_size", "target", "rate"
+        "__s", "__c", F.col("__block").alias("__b"), (F.col("__before") + F.col("__in")).alias("__start"), "__source_size", "__target", "__rate"
     )
     starts = materialize(starts, "mix-starts")
-    outputs = ("size", "source_size", "target", "copies", "taken")
-    sized = sized.drop(*outputs)
-    rank = F.row_number().over(W.partitionBy("source", "__class", "__block").orderBy("__size", "doc_id")) - 1
-    at = F.col("__start") + F.col("__rank")
-    crossed = F.floor(F.col("__u") + F.col("rate") * (at + 1)) - F.floor(F.col("__u") + F.col("rate") * at)
-    placed = sized.withColumn("__rank", rank).join(
-        starts,
-        sized["source"].eqNullSafe(F.col("__s")) & (F.col("__class") == F.col("__c")) & (F.col("__block") == F.col("__b")),
-    )
-    return (
-        placed.withColumn("__u", _offset(F.col("source")))
-        .withColumn("copies", F.greatest(F.least(crossed, F.lit(most)), F.lit(0)).cast("long"))
-        .withColumn("size", F.col("__size"))
-        .withColumn("taken", F.col("copies") * F.col("__size"))
-        .drop("__size", "__class", "__block", "__s", "__c", "__b", "__start", "__rank", "__u", "rate")
+    tried = _ranked(sized, starts).groupBy("source").agg(
+        F.max("__target").alias("t"), *[F.sum(_crossed(_offset(F.col("source"), k), most) * F.col("__size")).alias(f"s{k}") for k in range(OFFSETS)]
     )
+    nearest = F.least(*[F.struct(F.abs(F.col(f"s{k}") - F.col("t")).alias("gap"), F.lit(k).alias("k"), _offset(F.col("source"), k).alias("u")) for k in range(OFFSETS)])
+    offsets = tried.select(F.col("source").alias("__o"), nearest["u"].alias("__u"))
+    return materialize(starts.join(offsets, F.col("__s").eqNullSafe(F.col("__o"))).drop("__o"), "mix-plan")
+
+
+def place(docs: DataFrame, size: Column, planned: DataFrame, most: int = 3) -> DataFrame:
+    """docs with size, source_size, target, copies and taken (copies times size), as planned from the same documents."""
+    outputs = ("size", "source_size", "target", "copies", "taken")
+    placed = _ranked(_sized(docs, size).drop(*outputs), planned).withColumn("copies", _crossed(F.col("__u"), most))
+    return placed.withColumns(
+        {
+            "size": F.col("__size"),
+            "source_size": F.col("__source_size"),
+            "target": F.col("__target"),
+            "taken": F.col("copies") * F.col("__size"),
+        }
+    ).drop("__size", "__class", "__block", "__start", "__rank", "__source_size", "__target", "__rate", "__u")
+
+
+def word_sizes(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size of every row, written to the shared folder."""
+    return materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
 
 
 def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3) -> DataFrame:
     """The mix itself: every row of docs as often as it is taken, with its own columns."""
-    whole = docs.select("doc_id", "source", "text", F.struct("*").alias("__row"))
-    mixed = mix(whole.withColumn("__words", n_words(F.col("text"))).drop("text"), F.col("__words"), weights, most)
-    return mixed.where("copies > 0").select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("__row.*")
+    planned = plan(word_sizes(docs), weights, most)
+    whole = docs.select("doc_id", "source", n_words(F.col("text")).alias("__words"), F.struct("*").alias("__doc"))
+    mixed = place(whole, F.col("__words"), planned, most)
+    return mixed.where("copies > 0").select("__doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("__doc.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("__words"))
-    return mix(materialize(docs, "mix-sizes"), F.col("__words")).select("doc_id", "size", "source_size", "target", "taken")
+    sizes = word_sizes(table(spark, sf_dir, "documents"))
+    return place(sizes, F.col("size"), plan(sizes)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE = f"""WITH d AS (SELECT doc_id, source,
@@ -129,10 +169,13 @@ f AS (SELECT *, row_number() OVER b AS pos,
 l AS (SELECT level AS water FROM f WHERE level <= 3 * source_size / w ORDER BY pos LIMIT 1),
 t AS (SELECT source, source_size, CASE WHEN level <= 3 * source_size / w THEN w * water ELSE 3.0 * source_size END::DOUBLE AS target FROM f, l),
 c AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-  ('0x' || substr(md5(coalesce(d.source, chr(0))), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u,
   length(bin(size)) * 16 + (size >> greatest(length(bin(size)) - 5, 0)) AS cls,
   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2))::BIGINT AS blk
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY cls, blk, size, doc_id NULLS FIRST) - 1 AS k FROM c)
-SELECT doc_id, size, source_size, target,
-  (greatest(least(floor(u + rate * (k + 1)) - floor(u + rate * k), 3), 0) * size)::BIGINT AS taken FROM r"""
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY cls, blk, size, doc_id NULLS FIRST) - 1 AS k FROM c),
+o AS (SELECT source, j, ('0x' || substr(md5(coalesce(source, chr(0)) || '|' || j), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+  FROM s, (SELECT unnest(range(0, {OFFSETS})) AS j) z),
+x AS (SELECT r.*, o.j, (greatest(least(floor(u + rate * (k + 1)) - floor(u + rate * k), 3), 0) * size)::BIGINT AS taken
+  FROM r JOIN o ON r.source IS NOT DISTINCT FROM o.source),
+b AS (SELECT source, j, row_number() OVER (PARTITION BY source ORDER BY abs(sum(taken) - max(target)), j) AS place FROM x GROUP BY source, j)
+SELECT doc_id, size, source_size, target, taken FROM x JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.j = b.j WHERE place = 1"""
