@@ -59,7 +59,7 @@ def _class(size: Column) -> Column:
 
 
 #: Offsets that are tried for each source.
-OFFSETS = 64
+OFFSETS = 16
 
 
 def _offset(source: Column, number: int) -> Column:
