@@ -46,6 +46,8 @@ MEASURES = (
 TOP = 2000
 #: Multiple of the distance between quartile and median.
 SPREAD = 4
+#: Largest distance from the median, as a multiple of a measure's slack: holds where up to half of a group is bad.
+WIDEST = 4
 
 
 
@@ -155,26 +157,21 @@ def cutoffs(sketches: DataFrame, min_group: int = 200) -> DataFrame:
         {"cum": F.sum("n").over(group.orderBy("b")), "total": F.sum("n").over(group)}
     )
     quartile = lambda k: F.min(F.when(F.col("cum") * 4 >= F.col("total") * k, F.col("b")))
+    def fence(m: Measure):
+        """The median, and beyond it the multiple of the quartile's distance within the measure's bounds."""
+        away = F.col("q2") - F.col("q1") if m.low else F.col("q3") - F.col("q2")
+        reach = F.least(F.greatest(SPREAD * away, F.lit(m.slack)), F.lit(WIDEST * m.slack))
+        return F.max(F.when(F.col("m") == m.name, F.col("q2") - reach if m.low else F.col("q2") + reach)).alias(m.name)
+
     fences = (
         at.groupBy("level", "l", "s", "m")
         .agg(F.max("total").alias("total"), quartile(1).alias("q1"), quartile(2).alias("q2"), quartile(3).alias("q3"))
         .groupBy("level", "l", "s")
         .agg(
             F.max("total").alias("total"),
-            *[
-                F.max(
-                    F.when(
-                        F.col("m") == m.name,
-                        F.col("q2") - F.greatest(SPREAD * (F.col("q2") - F.col("q1")), F.lit(m.slack))
-                        if m.low
-                        else F.col("q2") + F.greatest(SPREAD * (F.col("q3") - F.col("q2")), F.lit(m.slack)),
-                    )
-                ).alias(m.name)
-                for m in MEASURES
-            ],
+            *[fence(m) for m in MEASURES],
         )
     )
-    cut = F.struct(*[F.col(m.name) for m in MEASURES])
     tried = fences.where("level = 0").select(F.col("l").alias("lang"), F.col("s").alias("source")).select(
         "lang", "source", F.explode(levels).alias("k")
     )
@@ -253,11 +250,8 @@ measured AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS ba
 
 
 def _cut_sql(m: Measure) -> str:
-    return (
-        f"max(CASE WHEN m = '{m.name}' THEN q2 - greatest({SPREAD} * (q2 - q1), {m.slack}) END) AS {m.name}"
-        if m.low
-        else f"max(CASE WHEN m = '{m.name}' THEN q2 + greatest({SPREAD} * (q3 - q2), {m.slack}) END) AS {m.name}"
-    )
+    reach = f"least(greatest({SPREAD} * ({'q2 - q1' if m.low else 'q3 - q2'}), {m.slack}), {WIDEST * m.slack})"
+    return f"max(CASE WHEN m = '{m.name}' THEN q2 {'-' if m.low else '+'} {reach} END) AS {m.name}"
 
 
 def _oracle(min_group: int = 200) -> str:
