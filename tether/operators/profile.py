@@ -106,12 +106,14 @@ def top_values(df: DataFrame, dataset: str, columns: list[str], k: int = 10) ->
 
 
 def correlations(df: DataFrame, dataset: str, columns: list[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns over the rows that have both; none for under two columns."""
+    """Pearson correlation of every pair of numeric columns over the rows that have both, null if one is constant there."""
     columns = columns or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "dataset string, col_a string, col_b string, corr double")
-    one = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    spread = lambda x, y: F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x)))
+    corr = lambda a, b: F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a))
+    one = df.agg(*[corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])
     return one.select(F.explode(cells).alias("x")).select(F.lit(dataset).alias("dataset"), "x.*")
 
