@@ -1,7 +1,7 @@
 """Evaluation of scored pairs (y 0/1, score) and statistical validation.
 
-Curves are running sums over score groups: rows are first summed per distinct score, so ties are exact and the only
-ordered step is over distinct scores.
+Curves are running sums over score groups: rows are first summed per distinct score, so ties are exact, and the sums run
+within score ranges and over the ranges.
 """
 
 from __future__ import annotations
@@ -11,6 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Ranges that scores from 0 to 1 are divided into for running sums.
+RANGES = 4096
+
+
 def confusion(df: DataFrame, threshold: Column | float, by: list[str] | None = None, weight: Column | None = None) -> DataFrame:
     """tp, fp, fn, tn, precision, recall, f1 at a threshold (score at least that); 0 where undefined."""
     w = F.lit(1) if weight is None else weight
@@ -35,10 +39,26 @@ def curve(df: DataFrame, by: list[str] | None = None, weight: Column | None = No
     groups = df.groupBy(*by, F.col("score").alias("threshold")).agg(
         F.sum(F.when(F.col("y") == 1, w).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y") == 0, w).otherwise(0)).alias("neg")
     )
-    down = W.partitionBy(*by).orderBy(F.desc("threshold"))
+    # running sums within score ranges, and of whole ranges: no window holds all scores
+    ranged = groups.withColumn("__range", F.floor(F.col("threshold") * RANGES))
+    ranges = ranged.groupBy(*by, "__range").agg(F.sum("pos").alias("__pos"), F.sum("neg").alias("__neg"))
+    above = W.partitionBy(*by).orderBy(F.desc("__range")).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
-    at = groups.withColumns(
-        {"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down), "all_pos": F.sum("pos").over(whole), "all_neg": F.sum("neg").over(whole)}
+    starts = ranges.select(
+        *[F.col(c).alias(f"__{c}") for c in by],
+        F.col("__range").alias("__start"),
+        F.coalesce(F.sum("__pos").over(above), F.lit(0)).alias("__tp"),
+        F.coalesce(F.sum("__neg").over(above), F.lit(0)).alias("__fp"),
+        F.sum("__pos").over(whole).alias("all_pos"),
+        F.sum("__neg").over(whole).alias("all_neg"),
+    )
+    same = F.col("__range") == F.col("__start")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    down = W.partitionBy(*by, "__range").orderBy(F.desc("threshold"))
+    within = ranged.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down)})
+    at = within.join(starts, same).select(
+        *by, "threshold", "pos", "neg", (F.col("tp") + F.col("__tp")).alias("tp"), (F.col("fp") + F.col("__fp")).alias("fp"), "all_pos", "all_neg"
     )
     return at.withColumns(
         {

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
+def quantile(c: str | Column, q: float, accuracy: int | None = None) -> Column:
+    """A quantile: exact (its buffer grows with the distinct values), or with ``accuracy`` from a sketch of bounded size."""
+    return F.percentile(c, F.lit(q)) if accuracy is None else F.percentile_approx(c, F.lit(q), F.lit(accuracy)).cast("double")
+
+
 def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
     """(col, value) with one row per cell; values as text."""
     cells = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in columns])
@@ -41,13 +46,13 @@ def info_content(df: DataFrame, dataset: str, columns: list[str]) -> DataFrame:
     ).select(F.lit(dataset).alias("dataset"), "*")
 
 
-def key_stats(df: DataFrame, key: str, dataset: str) -> DataFrame:
+def key_stats(df: DataFrame, key: str, dataset: str, accuracy: int | None = None) -> DataFrame:
     """n_keys, average, 95 % and largest block, top share and entropy of a block key."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     shares = counts.agg(
         F.count("*").alias("n_keys"),
         F.avg("n").alias("avg_block"),
-        F.percentile("n", F.lit(0.95)).alias("p95_block"),
+        quantile("n", 0.95, accuracy).alias("p95_block"),
         F.max("n").alias("max_block"),
         (F.max("n") / F.sum("n")).alias("top_share"),
         # sum of p * log p from sums over counts, so that no total is joined back
@@ -80,12 +85,12 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [n for n, t in df.dtypes if t in NUMERIC]
 
 
-def numeric_summary(df: DataFrame, dataset: str, columns: list[str] | None = None) -> DataFrame:
+def numeric_summary(df: DataFrame, dataset: str, columns: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
     """dataset, col, count, mean, std (0 for one value), p01, p50, p99, min, max of numeric columns."""
     columns = columns or numeric_columns(df)
     cells = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in columns])
     rows = df.select(F.explode(cells).alias("x")).select("x.col", "x.v").where("v IS NOT NULL")
-    at = lambda q: F.percentile("v", F.lit(q))
+    at = lambda q: quantile("v", q, accuracy)
     return rows.groupBy("col").agg(
         F.count("*").alias("count"),
         F.avg("v").alias("mean"),
@@ -176,13 +181,13 @@ def imputation(missing: DataFrame) -> DataFrame:
     return missing.where(rate.isNotNull()).select("dataset", "col", tier.alias("strategy"))
 
 
-def outliers(df: DataFrame, dataset: str, column: str, key: str, limit: float = 8.0, least: int = 200) -> DataFrame:
+def outliers(df: DataFrame, dataset: str, column: str, key: str, limit: float = 8.0, least: int = 200, accuracy: int | None = None) -> DataFrame:
     """Rows whose robust z-score (0.6745 (x - median) / MAD) is at least ``limit`` either way; none under ``least`` rows."""
     own = df.select(F.col(key).alias("key"), F.col(column).cast("double").alias("value")).where("key IS NOT NULL AND value IS NOT NULL")
-    mid = own.agg(F.percentile("value", F.lit(0.5)).alias("med"), F.count("*").alias("n"))
+    mid = own.agg(quantile("value", 0.5, accuracy).alias("med"), F.count("*").alias("n"))
     # one row on either right side
     centred = own.crossJoin(F.broadcast(mid)).where(F.col("n") >= least)
-    spread = centred.agg(F.percentile(F.abs(F.col("value") - F.col("med")), F.lit(0.5)).alias("mad"))
+    spread = centred.agg(quantile(F.abs(F.col("value") - F.col("med")), 0.5, accuracy).alias("mad"))
     z = 0.6745 * (F.col("value") - F.col("med")) / F.when(F.col("mad") == 0, 1e-9).otherwise(F.col("mad"))
     return centred.crossJoin(F.broadcast(spread)).withColumn("z", z).where(F.abs("z") >= limit).select(
         "key", "value", "z", F.lit(dataset).alias("dataset"), F.lit(column).alias("metric")

@@ -101,7 +101,7 @@ REGISTRY = Raw(
 
 @dataclass
 class Linkage:
-    """The steps over three CSV files and an output folder. ``caps`` and ``window`` bound the blocks."""
+    """The steps over three CSV files and an output folder. Caps and window bound the blocks; accuracy is that of quantile sketches."""
 
     claims: str
     payments: str
@@ -111,6 +111,7 @@ class Linkage:
     last_cap: int = 2000
     window: int = 50
     target_precision: float = 0.95
+    accuracy: int = 10_000
 
     def _write(self, df: DataFrame, name: str) -> None:
         IO.write_parquet(df, f"{self.out}/{name}")
@@ -139,12 +140,12 @@ class Linkage:
             }
             parts["imputation"] = profile.imputation(parts["missingness"])
             if measured:
-                parts["summary_stats"] = profile.numeric_summary(df, name, measured)
+                parts["summary_stats"] = profile.numeric_summary(df, name, measured, accuracy=self.accuracy)
                 parts["correlations"] = profile.correlations(df, name, measured)
             for report, rows in parts.items():
                 reports[report] = reports[report].unionByName(rows) if report in reports else rows
-        reports["outliers"] = profile.outliers(tables["providers_a"], "providers_a", "sum_benes", "npi").unionByName(
-            profile.outliers(tables["providers_b"], "providers_b", "sum_payment_amount", "profile_id")
+        reports["outliers"] = profile.outliers(tables["providers_a"], "providers_a", "sum_benes", "npi", accuracy=self.accuracy).unionByName(
+            profile.outliers(tables["providers_b"], "providers_b", "sum_payment_amount", "profile_id", accuracy=self.accuracy)
         )
         for report, rows in reports.items():
             self._write(rows, f"eda/{report}")
