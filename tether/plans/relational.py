@@ -335,8 +335,9 @@ JACCARD_SQL = f"""SELECT l.id AS left_id, r.id AS right_id,
 
 
 def token_sides(spark, d):
-    """(id, state, tokens) of both sides; tokens from name, state and brand."""
-    side = lambda rows, key, last: roles.role(spark, d, rows).select(
+    """(id, state, tokens) of both sides; tokens from name, state and brand. One small file is dealt over all cores."""
+    cores = spark.sparkContext.defaultParallelism
+    side = lambda rows, key, last: roles.role(spark, d, rows).repartition(cores).select(
         F.col(key).alias("id"), "state", T.block_tokens(F.concat_ws(" ", "first_name", last, "state", "p_brand")).alias("tokens")
     )
     return side(roles.LEFT, "profile_id", "last_name"), side(roles.RIGHT, "npi", "last_or_org_name")
