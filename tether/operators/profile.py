@@ -152,7 +152,7 @@ def _chi1_tail(x: Column) -> Column:
 def ks_two_sample(df: DataFrame, group: Column, value: str, name: str, least: int = 50) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test between rows where group is false and true; no row unless both have ``least``.
 
-    Counts per distinct value, then one running sum over the values.
+    Counts per distinct value, then running sums.
     """
     at = (
         df.select(group.alias("g"), F.col(value).alias("v"))
@@ -160,12 +160,23 @@ def ks_two_sample(df: DataFrame, group: Column, value: str, name: str, least: in
         .groupBy("v")
         .agg(F.sum((~F.col("g")).cast("long")).alias("n0"), F.sum(F.col("g").cast("long")).alias("n1"))
     )
-    run = W.orderBy("v")
+    # running sums within ranges of the values and over the ranges, whose bounds are quantiles: no window holds all values
+    bounds = at.agg(F.percentile_approx("v", [i / 256 for i in range(1, 256)], F.lit(10_000)).alias("bounds"))
+    ranged = at.crossJoin(F.broadcast(bounds)).withColumn("r", F.size(F.filter("bounds", lambda x: x < F.col("v")))).drop("bounds")
+    below = W.orderBy("r").rowsBetween(W.unboundedPreceding, -1)
     whole = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    gaps = at.withColumns({"c0": F.sum("n0").over(run), "c1": F.sum("n1").over(run), "t0": F.sum("n0").over(whole), "t1": F.sum("n1").over(whole)})
-    d = gaps.where((F.col("t0") >= least) & (F.col("t1") >= least)).agg(
-        F.max(F.abs(F.col("c0") / F.col("t0") - F.col("c1") / F.col("t1"))).alias("stat"), F.max("t0").alias("n0"), F.max("t1").alias("n1")
+    starts = ranged.groupBy("r").agg(F.sum("n0").alias("m0"), F.sum("n1").alias("m1")).select(
+        F.col("r").alias("s"),
+        F.coalesce(F.sum("m0").over(below), F.lit(0)).alias("s0"),
+        F.coalesce(F.sum("m1").over(below), F.lit(0)).alias("s1"),
+        F.sum("m0").over(whole).alias("t0"),
+        F.sum("m1").over(whole).alias("t1"),
     )
+    run = W.partitionBy("r").orderBy("v")
+    sums = ranged.withColumns({"c0": F.sum("n0").over(run), "c1": F.sum("n1").over(run)}).join(starts, F.col("r") == F.col("s"))
+    gap = F.abs((F.col("c0") + F.col("s0")) / F.col("t0") - (F.col("c1") + F.col("s1")) / F.col("t1"))
+    enough = sums.where((F.col("t0") >= least) & (F.col("t1") >= least))
+    d = enough.agg(F.max(gap).alias("stat"), F.max("t0").alias("n0"), F.max("t1").alias("n1"))
     en = F.sqrt(F.col("n0") * F.col("n1") / (F.col("n0") + F.col("n1")).cast("double"))
     scaled = en * F.col("stat")
     p = F.aggregate(
