@@ -75,17 +75,23 @@ def _crossed(offset: Column, most: int) -> Column:
     return F.greatest(F.least(n, F.lit(most)), F.lit(0)).cast("long")
 
 
+def _key(source: Column) -> Column:
+    """The source as a text that is never null, so that windows and joins deal rows out alike and texts move once."""
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+
+
 def _sized(docs: DataFrame, size: Column) -> DataFrame:
-    """docs with __size, its __class and the document's __block."""
+    """docs with __source, __size, its __class and the document's __block."""
     block = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 2), 16, 10).cast("int") % BLOCKS
-    return docs.withColumn("__size", size.cast("long")).withColumns({"__class": _class(F.col("__size")), "__block": block})
+    sized = docs.withColumns({"__source": _key(F.col("source")), "__size": size.cast("long")})
+    return sized.withColumns({"__class": _class(F.col("__size")), "__block": block})
 
 
 def _ranked(sized: DataFrame, starts: DataFrame) -> DataFrame:
     """sized with its place among the documents of its source."""
-    rank = F.row_number().over(W.partitionBy("source", "__class", "__block").orderBy("__size", "doc_id")) - 1
-    same = sized["source"].eqNullSafe(F.col("__s")) & (F.col("__class") == F.col("__c")) & (F.col("__block") == F.col("__b"))
-    return sized.withColumn("__rank", rank).join(starts, same).drop("__s", "__c", "__b")
+    rank = F.row_number().over(W.partitionBy("__source", "__class", "__block").orderBy("__size", "doc_id")) - 1
+    same = (F.col("__source") == F.col("__s")) & (F.col("__class") == F.col("__c")) & (F.col("__block") == F.col("__b"))
+    return sized.withColumn("__rank", rank).join(starts, same).drop("__source", "__s", "__c", "__b")
 
 
 def plan(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3) -> DataFrame:
@@ -94,27 +100,27 @@ def plan(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3)
     sizes: doc_id, source, size; it is read more than once.
     """
     sized = _sized(sizes, F.col("size"))
-    blocks = sized.groupBy("source", "__class", "__block").agg(F.count("*").alias("n"), F.sum("__size").alias("s"))
+    blocks = sized.groupBy("source", "__source", "__class", "__block").agg(F.count("*").alias("n"), F.sum("__size").alias("s"))
     blocks = materialize(blocks, "mix-blocks")
     preceding = lambda *keys: W.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(W.unboundedPreceding, -1)
     before = lambda *keys: F.coalesce(F.sum("n").over(preceding(*keys)), F.lit(0))
     classes = (
-        blocks.groupBy("source", "__class")
+        blocks.groupBy("__source", "__class")
         .agg(F.sum("n").alias("n"))
-        .withColumn("__before", before("source", "__class"))
-        .select("source", "__class", "__before")
+        .withColumn("__before", before("__source", "__class"))
+        .select("__source", "__class", "__before")
     )
     targets = source_targets(blocks.groupBy("source").agg(F.sum("s").alias("source_size")), weights, most)
-    starts = classes.join(targets, classes["source"].eqNullSafe(targets["source"])).select(
-        classes["source"].alias("__s"),
+    starts = classes.join(targets, F.col("__source") == _key(F.col("source"))).select(
+        F.col("__source").alias("__s"),
         F.col("__class").alias("__c"),
         "__before",
         F.col("source_size").alias("__source_size"),
         F.col("target").alias("__target"),
         F.col("rate").alias("__rate"),
     )
-    within = blocks.withColumn("__in", before("source", "__class", "__block"))
-    starts = within.join(starts, within["source"].eqNullSafe(F.col("__s")) & (F.col("__class") == F.col("__c"))).select(
+    within = blocks.withColumn("__in", before("__source", "__class", "__block"))
+    starts = within.join(starts, (F.col("__source") == F.col("__s")) & (F.col("__class") == F.col("__c"))).select(
         "__s", "__c", F.col("__block").alias("__b"), (F.col("__before") + F.col("__in")).alias("__start"), "__source_size", "__target", "__rate"
     )
     starts = materialize(starts, "mix-starts")
@@ -122,8 +128,8 @@ def plan(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3)
         F.max("__target").alias("t"), *[F.sum(_crossed(_offset(F.col("source"), k), most) * F.col("__size")).alias(f"s{k}") for k in range(OFFSETS)]
     )
     nearest = F.least(*[F.struct(F.abs(F.col(f"s{k}") - F.col("t")).alias("gap"), F.lit(k).alias("k"), _offset(F.col("source"), k).alias("u")) for k in range(OFFSETS)])
-    offsets = tried.select(F.col("source").alias("__o"), nearest["u"].alias("__u"))
-    return materialize(starts.join(offsets, F.col("__s").eqNullSafe(F.col("__o"))).drop("__o"), "mix-plan")
+    offsets = tried.select(_key(F.col("source")).alias("__o"), nearest["u"].alias("__u"))
+    return materialize(starts.join(offsets, F.col("__s") == F.col("__o")).drop("__o"), "mix-plan")
 
 
 def place(docs: DataFrame, size: Column, planned: DataFrame, most: int = 3) -> DataFrame:
