@@ -33,6 +33,9 @@ CALL = 1000
 class _Words:
     """A bounded cache from word to value."""
 
+    #: Words of this kind's cache, if fewer than MAX_WORDS.
+    most: int | None = None
+
     def __init__(self, start: dict | None = None):
         self.start = start or {}
         self.known: dict = dict(self.start)
@@ -64,7 +67,7 @@ class _Words:
     def _stretch(self, texts: list[str]):
         cut = [self.split(x) for x in texts]
         words = list(chain.from_iterable(cut))
-        if len(self.known) + len(words) // 8 > MAX_WORDS or self.chars > MAX_CHARS:
+        if len(self.known) + len(words) // 8 > (self.most or MAX_WORDS) or self.chars > MAX_CHARS:
             self.known, self.chars = dict(self.start), 0
         values = list(map(self.known.get, words))
         unknown = [i for i, v in enumerate(values) if v is None] if None in values else []
@@ -154,6 +157,7 @@ class SpacedBpe(_Bpe):
 
     FIRST = "\x00"
     ENDS = ""
+    most = 600_000  # workers of a pipeline also hold other stages' memory
     PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str):
