@@ -124,3 +124,14 @@ def test_stream_of_queries(spark, tmp_path):
     stream = match_stream(spark.readStream.schema(fields).json(str(tmp_path / "in")), providers(spark), idf, lambda df, n: seen.extend(df.collect()), checkpoint=str(tmp_path / "cp"))
     stream.awaitTermination(120)
     assert [r.candidate_npi for r in seen] == ["1234567890"]
+
+
+def test_training_set_query_keeps_more_than_2000_negatives(spark, monkeypatch):
+    from tether.plans import analysis
+
+    rows = spark.range(3300).selectExpr(
+        "id AS left_id", "id AS right_id", "CAST(id < 300 AS INT) AS y", "0.5D AS sim_jw_lastname", "0.5D AS sim_jw_fullname", "0 AS org_vs_person_conflict"
+    )
+    monkeypatch.setattr(analysis, "labelled", lambda *_: rows)
+    drawn = analysis.R.queries["smp_2"](spark, "").groupBy("origin").count().collect()
+    assert {r.origin: r["count"] for r in drawn} == {"positive": 300, "random": 3000}

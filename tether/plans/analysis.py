@@ -232,7 +232,7 @@ SIMILAR = ["f_length", "f_capitals", "f_symbols", "f_distinct"]
 @R.add("smp_2")
 def _(spark, d):
     own = labelled(spark, d, ["sim_jw_lastname", "sim_jw_fullname", "org_vs_person_conflict"])
-    return learning.training_set(own, "left_id", "right_id", cap=2000).select("left_id", "right_id", "y", "origin")
+    return learning.training_set(own, "left_id", "right_id").select("left_id", "right_id", "y", "origin")
 
 
 _FOLD = "('0x' || substr(md5(grp || '|42'), 1, 7))::BIGINT"
