@@ -17,7 +17,7 @@ from tether.llm.common import shared_dir, table
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.keep_good(docs)
+    return quality_rules.keep_good(docs, passage=quality_rules.PASSAGE)
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,8 @@ MEASURES = (
 )
 #: The sketches' last bucket; larger values are counted in it.
 TOP = 2000
+#: Words of a passage within which the pipeline counts distinct words.
+PASSAGE = 200
 #: Multiple of the distance between quartile and median.
 SPREAD = 4
 #: Largest distance from the median, as a multiple of a measure's slack: holds where up to half of a group is bad.
@@ -55,8 +57,22 @@ def _exact_ratio(part: str, whole: str, scale: int = 1000) -> Column:
     return F.expr(f"CASE WHEN {whole} > 0 THEN ({part} * {scale}L) DIV {whole} ELSE 0L END")
 
 
-def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
-    """The columns ``keep`` with the base counts, base_failed and the measures of every whole text."""
+def _distinct_words(passage: int | None) -> Column:
+    """Distinct words of the array __w, as long: of all of it, or summed over its passages, so that length has no weight."""
+    count = lambda w: F.size(F.array_distinct(w)).cast("long")
+    if passage is None:
+        return count("__w")
+    starts = F.when(F.size("__w") > 0, F.sequence(F.lit(1), F.size("__w"), F.lit(passage)))
+    parts = F.transform(starts, lambda i: count(F.slice("__w", i, passage)))
+    return F.coalesce(F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
+
+
+def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source"), passage: int | None = None) -> DataFrame:
+    """The columns ``keep`` with the base counts, base_failed and the measures of every whole text.
+
+    distinct_ratio is that of the whole text, which falls with its length, or, where ``passage`` is given, the mean over
+    consecutive passages of that many words (the last may be shorter), which cover the whole text.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     own = docs.select(
         *keep,
@@ -80,7 +96,7 @@ def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source"
         "__capitals",
         "__h",
         n.cast("long").alias("n_words"),
-        F.size(F.array_distinct("__w")).cast("long").alias("__distinct"),
+        _distinct_words(passage).alias("__distinct"),
         F.size("__l").cast("long").alias("__lines"),
         (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
     )
@@ -209,15 +225,15 @@ def quality_rules(docs: DataFrame, min_group: int = 200) -> DataFrame:
     return judge(measured, cuts).select(*COLUMNS)
 
 
-def keep_good(docs: DataFrame, min_group: int = 200) -> DataFrame:
-    """The rows of docs, all columns as they were, that the rules keep.
+def keep_good(docs: DataFrame, min_group: int = 200, passage: int | None = None) -> DataFrame:
+    """The rows of docs, all columns as they were, that the rules keep; passage as in ``measure``.
 
     Texts are measured twice, once for the sketches and once to filter, so that no text is shuffled or written.
     """
-    measured = materialize(measure(docs, ("lang", "source")), "quality-measures")
+    measured = materialize(measure(docs, ("lang", "source"), passage), "quality-measures")
     cuts = materialize(cutoffs(sketch(measured), min_group), "quality-cutoffs")
     whole = docs.select(F.struct("*").alias("__row"), "doc_id", "text", "lang", "source")
-    return judge(measure(whole, ("__row", "lang", "source")), cuts).where("kept").select("__row.*")
+    return judge(measure(whole, ("__row", "lang", "source"), passage), cuts).where("kept").select("__row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
