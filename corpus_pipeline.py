@@ -21,7 +21,8 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
+    labels, documents = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
+    return quality_classifier.keep_good(docs, labels, known=documents)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,3 +19,15 @@ def test_quality_rules_stage_keeps_long_clean_text(spark):
     rows += [(500, prose(rng, 20000, 60), "en", "a"), (501, "good words here " + " ".join(rng.choice(["up", "to", "it"]) for _ in range(200)), "en", "a")]
     kept = {r.doc_id for r in corpus_pipeline.quality_rules_stage(spark, made(spark, rows), "").collect()}
     assert kept == {*range(250), 500}
+
+
+def test_classifier_stage_learns_from_rows_that_were_filtered_before(spark, tmp_path):
+    rng = random.Random(6)
+    junk = lambda: " ".join(rng.choice(["click", "win", "cash", "now", "free"]) + "!" for _ in range(80))
+    rows = [(i, prose(rng, 80, 300) if i % 2 else junk(), "en", "a") for i in range(600)]
+    made(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(500)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    left = [r for r in rows if r[0] % 2 or r[0] >= 500]  # no row labelled bad is left
+    kept = {r.doc_id for r in corpus_pipeline.quality_classifier_stage(spark, made(spark, left), str(tmp_path)).collect()}
+    assert kept == {i for i in range(600) if i % 2}

@@ -200,9 +200,13 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of docs, all columns as they were, whose score is at least 0.5."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
+def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, known: DataFrame | None = None) -> DataFrame:
+    """The rows of docs, all columns as they were, whose score is at least 0.5.
+
+    The labelled rows that train are those of ``known``, by default of docs itself. Where docs were filtered before, known
+    has to be the table before that, or labels of the filtered kind are missing.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs if known is None else known, labels, sample))
 
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
