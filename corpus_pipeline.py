@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of documents. SQL can express neither the classifier nor the
-fingerprints, so there is no oracle; tests hold the stages to brute-force versions.
+signatures, so there is no oracle; tests hold the stages to brute-force versions.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tether.llm import mixing, packing, quality_classifier, quality_rules, simhash_dedup
+from tether.llm import mixing, near_copies, packing, quality_classifier, quality_rules
 from tether.llm.common import shared_dir, table
 
 
@@ -26,7 +26,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash_dedup.keep_one(docs)
+    return near_copies.keep_one(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,24 @@ def test_classifier_stage_learns_from_rows_that_were_filtered_before(spark, tmp_
     left = [r for r in rows if r[0] % 2 or r[0] >= 500]  # no row labelled bad is left
     kept = {r.doc_id for r in corpus_pipeline.quality_classifier_stage(spark, made(spark, left), str(tmp_path)).collect()}
     assert kept == {i for i in range(600) if i % 2}
+
+
+def five_words(text):
+    w = text.split()
+    return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or {text}
+
+
+def test_near_duplicates_stage_finds_pairs_of_similarity_0_8(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):  # one to ten words of 200 are changed; each takes five shingles with it
+        words = prose(rng, 200, 3000).split()
+        rows.append((2 * i, " ".join(words), "en", "a"))
+        for at in rng.sample(range(200), 1 + i // 6):
+            words[at] = f"changed{i}x{at}"
+        rows.append((2 * i + 1, " ".join(words), "en", "a"))
+    same = lambda a, b: len(five_words(a) & five_words(b)) * 5 >= 4 * len(five_words(a) | five_words(b))
+    far = [i for i in range(60) if not same(rows[2 * i][1], rows[2 * i + 1][1])]
+    assert 5 < len(far) < 55
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates_stage(spark, made(spark, rows), "").collect()}
+    assert kept == {2 * i for i in range(60)} | {2 * i + 1 for i in far}
