@@ -52,3 +52,15 @@ def test_near_duplicates_stage_finds_pairs_of_similarity_0_8(spark):
     assert 5 < len(far) < 55
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates_stage(spark, made(spark, rows), "").collect()}
     assert kept == {2 * i for i in range(60)} | {2 * i + 1 for i in far}
+
+
+def test_near_duplicates_stage_keeps_texts_without_or_under_the_same_id(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = (prose(rng, 100, 3000) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (1, c), (1, d), (2, c), (None, d + " end"), (3, e), (3, e), (None, None), (None, "")]
+    stage = corpus_pipeline.near_duplicates_stage
+    kept = stage(spark, made(spark, [(i, t, "en", "a") for i, t in rows]), "")
+    assert kept.columns == ["doc_id", "text", "lang", "source"]
+    found = sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str)
+    assert found == sorted([(None, a), (None, b), (1, c), (1, d), (3, e), (None, "")], key=str)
+    assert stage(spark, made(spark, []), "").count() == 0

@@ -232,7 +232,11 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group of near-duplicates: the one whose doc_id is the group's smallest."""
+    """docs with one row of each group of near-duplicates: the one whose doc_id is the group's smallest.
+
+    Rows without doc_id are dropped, and of a doc_id with several texts any one stays; ``near_copies.keep_one``, which the
+    pipeline uses, loses neither.
+    """
     kept = simhash_dedup(docs.where("doc_id IS NOT NULL")).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
