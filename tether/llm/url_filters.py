@@ -68,18 +68,21 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, support: float = 0.005, confidence: float = 0.6, longest: int = 3) -> DataFrame:
+def mine(labelled: DataFrame, support: float = 0.005, confidence: float = 0.6, longest: int | None = None) -> DataFrame:
     """Rules (rule_id, token, size) from labelled urls (tokens array, bad boolean).
 
     A rule's support is the share of labelled urls that hold its tokens, its confidence the share of bad among them.
     At least one url in 1 / support holds each token, so there are at most (tokens of a url / support) frequent tokens
-    and the rules stay few whatever the number of urls.
+    and the rules stay few whatever the number of urls. Sets of every size count, or those of at most ``longest``
+    tokens; the smallest rules are taken first, and larger ones only where they hold none of these.
     """
     baskets = labelled.select(
         F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")
     ).where(F.size("items") > 0)
     sets = FPGrowth(itemsCol="items", minSupport=support * confidence, minConfidence=0.0).fit(baskets).freqItemsets
-    sets = materialize(sets.where(F.size("items") <= longest + 1).withColumn("items", F.array_sort("items")), "url-sets")
+    if longest is not None:
+        sets = sets.where(F.size(F.array_remove("items", BAD)) <= longest)
+    sets = materialize(sets.withColumn("items", F.array_sort("items")), "url-sets")
     with_bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(
         F.array_remove("items", BAD).alias("items"), F.col("freq").alias("bad")
     )
@@ -90,18 +93,20 @@ def mine(labelled: DataFrame, support: float = 0.005, confidence: float = 0.6, l
         .select("items", F.size("items").alias("size"))
     )
     found = materialize(rules, "url-rules")
-    small = found.alias("a").select(F.explode("items").alias("token"), F.col("items").alias("part"), F.col("size").alias("part_size"))
-    implied = (
-        found.select(F.explode("items").alias("token"), "items", "size")
-        .join(small, "token")
-        .where("part_size < size")
-        .groupBy("items", "part", "part_size")
-        .agg(F.count("*").alias("n"))
-        .where("n = part_size")
-        .select("items")
-        .distinct()
-    )
-    kept = found.join(implied, "items", "left_anti")
+    kept = found.limit(0)
+    for n in sorted(r["size"] for r in found.select("size").distinct().collect()):  # as many as a url has tokens, at most
+        small = kept.select(F.explode("items").alias("token"), F.col("items").alias("part"), F.col("size").alias("part_size"))
+        level = found.where(F.col("size") == n)
+        implied = (
+            level.select(F.explode("items").alias("token"), "items")
+            .join(small, "token")
+            .groupBy("items", "part", "part_size")
+            .agg(F.count("*").alias("n"))
+            .where("n = part_size")
+            .select("items")
+            .distinct()
+        )
+        kept = materialize(kept.union(level.join(implied, "items", "left_anti")), "url-kept")
     return kept.select(F.array_join("items", "\x01").alias("rule_id"), F.explode("items").alias("token"), "size")
 
 
@@ -118,7 +123,7 @@ def match(urls: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
-def url_filters(pages: DataFrame, labels: DataFrame, rules=RULES, support: float = 0.005, confidence: float = 0.6) -> DataFrame:
+def url_filters(pages: DataFrame, labels: DataFrame, rules=RULES, support: float = 0.005, confidence: float = 0.6, longest: int | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict of every row of pages; labels: doc_id is the page_id, toxic or quality 0 is bad."""
     once = pages.groupBy("page_id", "url").agg(F.count("*").alias("__copies"))
     url = F.col("url")
@@ -130,7 +135,7 @@ def url_filters(pages: DataFrame, labels: DataFrame, rules=RULES, support: float
     marks = labels.groupBy(F.col("doc_id").alias("page_id")).agg(
         F.max((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad")
     ).where("bad IS NOT NULL")
-    index = materialize(mine(parsed.join(marks, "page_id"), support, confidence), "url-index")
+    index = materialize(mine(parsed.join(marks, "page_id"), support, confidence, longest), "url-index")
     fits = match(parsed.where("__stated IS NULL"), index).select(
         F.col("page_id").alias("__p"), F.col("url").alias("__u"), F.lit(True).alias("__hit")
     )
@@ -146,7 +151,8 @@ def url_filters(pages: DataFrame, labels: DataFrame, rules=RULES, support: float
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filters(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    """The operator with rules of at most three tokens, as the SQL states them."""
+    return url_filters(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), longest=3)
 
 
 def _oracle(support: float = 0.005, confidence: float = 0.6, rules=RULES) -> str:
