@@ -96,15 +96,32 @@ def test_simhash(spark, rows, shard, monkeypatch):
     monkeypatch.setattr(simhash_dedup, "SHARD", shard)
     docs = make(spark, rows)
     got = simhash_dedup.simhash_dedup(docs).collect()
-    fps = {r[0]: plain_fingerprint(r[1]) for r in rows}
-    assert sorted(((r.doc_id, r.fingerprint) for r in got), key=key) == sorted(((r[0], f"{fps[r[0]]:016x}") for r in rows), key=key)
-    group = plain_groups([i for i in fps if i is not None], lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3)
-    assert all(r.component_id == group[r.doc_id] for r in got if r.doc_id is not None)
-    kept = simhash_dedup.keep_one(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
+    fps = [plain_fingerprint(r[1]) for r in rows]
+    group = plain_groups(range(len(rows)), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3)
+    least = {}
+    for k, r in enumerate(rows):
+        if r[0] is not None:
+            least[group[k]] = min(r[0], least.get(group[k], r[0]))
+    want = [(r[0], f"{fps[k]:016x}", least.get(group[k])) for k, r in enumerate(rows)]
+    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=key) == sorted(want, key=key)
     assert simhash_dedup.simhash_dedup(docs.limit(0)).count() == 0
 
 
+def test_simhash_rows_without_id_bridge_groups(spark):
+    texts = {}
+    for k in range(4000):  # texts that differ in a word or two, by fingerprint
+        words = [f"w{i}" for i in range(40)]
+        words[k % 40] = f"x{k}"
+        texts.setdefault(plain_fingerprint(" ".join(words)), " ".join(words))
+    far = lambda a, b: (a ^ b).bit_count()
+    some = sorted(texts)[:700]
+    a, m, b = next((a, m, b) for m in some for a in some for b in some if far(a, m) <= 3 and far(m, b) <= 3 and far(a, b) > 3)
+    rows = [(7, texts[a]), (None, texts[m]), (9, texts[b]), (None, "quite another text"), (11, "one more text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id) for r in simhash_dedup.simhash_dedup(docs).collect()), key=key)
+    assert got == sorted([(7, 7), (None, 7), (9, 7), (None, None), (11, 11)], key=key)
+
+
 def test_trie_join_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     values = []
@@ -119,11 +136,34 @@ def test_trie_join_equals_brute_force(spark):
     got = {p for i, j in simhash_dedup.trie_join(v) for p in zip(i.tolist(), j.tolist(), strict=True)}
     far = np.bitwise_count(v[:, None] ^ v[None, :])
     assert got == {(i, j) for i, j in zip(*np.nonzero(far <= 3), strict=True) if i < j}
-    classes = spark.createDataFrame([(int(x) - (1 << 64) * (int(x) >> 63), i) for i, x in enumerate(v)], "fp long, rep long")
+    signed = v.view(np.int64).tolist()
+    classes = spark.createDataFrame([(x,) for x in signed], "fp long")
     want = plain_groups(range(len(v)), lambda a, b: far[a, b] <= 3)
     for shard in (2000, 2):  # 2: nearly every shard is divided
         found = {r.node: r.component for r in components(simhash_dedup.near_links(classes, shard)).collect()}
-        assert {n: found.get(n, n) for n in want} == want
+        mine = [found.get(x, x) for x in signed]
+        assert all((mine[a] == mine[b]) == (want[a] == want[b]) for a in want for b in want)
+
+
+def test_trie_join_of_wide_values_in_several_tries(spark):
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, (40, 2)).astype(np.uint64)
+    rows = np.concatenate([base] + [base ^ (np.uint64(1) << rng.integers(0, 64, (40, 2)).astype(np.uint64)) for _ in range(6)])
+    rows[5] = rows[6]  # equal values are pairs too
+    keys = rng.integers(0, 3, len(rows))
+    order = np.lexsort((rows[:, 1], rows[:, 0], keys))
+    rows, keys = rows[order], keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    far = np.bitwise_count(rows[:, None] ^ rows[None]).sum(axis=2)
+    want = {(i, j) for i, j in zip(*np.nonzero((far <= 3) & (keys[:, None] == keys[None])), strict=True) if i < j}
+    for leaf in (1, 4, 500):
+        found = [p for i, j in simhash_dedup.trie_join(rows, 3, starts, leaf) for p in zip(i.tolist(), j.tolist(), strict=True)]
+        assert len(found) == len(set(found)) and set(found) == want
+    forest = simhash_dedup.Forest(len(rows))
+    for i, j in simhash_dedup.trie_join(rows, 3, starts, 4, forest.groups):
+        forest.join(i, j)
+    group = plain_groups(range(len(rows)), lambda a, b: (a, b) in want)
+    assert forest.groups().tolist() == list(group.values())
 
 
 def test_components_of_chains_and_stars(spark):

@@ -1,54 +1,142 @@
-"""One row of each group of near-copies, for the pipeline: texts whose sets of five-word shingles have a Jaccard similarity of 0.8.
+"""SimHash near-duplicates of a stated similarity: op10's trie join with a wide bit budget, then an exact comparison.
 
-Fingerprints cannot find these: the 64-bit fingerprints of such texts differ in up to 11 bits and more. Candidates come
-from MinHash bands (a pair at 0.8 shares a band with probability 1 - (1 - 0.8 ** 5) ** 24 = 0.99993), and texts that share
-a band are compared exactly, by their shingles. Equal texts are one class first, so copies cost nothing. A band's classes
-are compared until they hang together: pairs already joined are skipped, so a large group of close copies takes few
-comparisons; only texts that share a band without being near take the square of their number. Groups are the connected
-components of the links.
+Near-copies are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. Equal sets are one class,
+so copies cost nothing. A class has a fingerprint of 128 bits, in which two sets at 0.8 differ in 15 % of the bits (19 %
+for the smallest sets), some up to 32. No block of bits that long agrees for certain, so shards are tables that each
+sample ``key_bits`` of the 128, as many tables as find a pair at 0.8 with probability RECALL. Shards keep about the same
+size however many classes there are: the key grows with their logarithm, and the tables with it. Within a shard the
+binary trie self-join of op10 finds the pairs within 32 bits. They make candidate groups, a spanning forest of links each.
+
+A candidate group's shingle sets then meet in one task, once, where the trie join runs over the group and each pair within
+the budget that is not joined already is compared exactly. Groups of over CROWD classes are dealt anew into tables of
+longer keys first. Groups of near-copies are the connected components of the links that hold.
 
 Defined results: words are compared without regard to ASCII case; a text of at most five words is one shingle; null texts
-and texts without words are equal; the row with the smallest doc_id of a group is kept, one without doc_id only if none
-has one, then that of the smallest text hash; so every group keeps one row, whether ids are null or repeated, and different
-texts under one doc_id all stay; an empty table gives an empty result.
+and texts without words are equal; very long texts are compared whole; the row with the smallest doc_id of a group is kept,
+one without doc_id only if none has one, then that of the smallest text hash; so every group keeps one row, whether ids are
+null or repeated, and different texts under one doc_id all stay; repeated rows of the kept text leave one of them, any; an
+empty table gives an empty result; other columns stay as they are, and may have any name but ``__key``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
 from .components import components
-from .simhash_dedup import _LOWER, Forest
+from .simhash_dedup import _LOWER, Forest, shard_links, trie_join
 
 SHINGLE = 5
 #: Least Jaccard similarity of near-copies, as a ratio of integers.
 NEAR = (4, 5)
-BANDS, ROWS = 24, 5
-_SEEDS = np.random.default_rng(11).integers(0, 2**64, (2, BANDS * ROWS), np.uint64)
-_FACTORS, _SHIFTS = _SEEDS[0] | np.uint64(1), _SEEDS[1]
+WIDTH = 128
+#: Differing bits within which pairs are compared exactly.
+BUDGET = 32
+#: Share of bits in which two large sets of similarity 0.8 differ: the angle between them over pi.
+DIFFER = math.acos(8 / 9) / math.pi
+#: Probability that a pair at 0.8 meets in a shard and is within the budget; nearer pairs are found more surely.
+RECALL = 0.99
+#: Classes that a shard holds on average.
+SHARD = 512
+#: Classes of a candidate group whose shingles meet in one task.
+CROWD = 4096
+#: Runs of this many classes are compared at once: a budget this wide prunes nothing near the leaves.
+LEAF = 32
+_ODD = [int(x) | 1 for x in np.random.default_rng(11).integers(0, 2**63, SHINGLE + 2)]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """x (uint64) with every bit dependent on all others."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Words(dict):
+    """Hash of each word; bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_WORDS = _Words()
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted hashes of the text's distinct five-word shingles, one at least."""
     found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    whole = [b" ".join(found)] if len(found) <= SHINGLE else map(b" ".join, zip(*[found[i:] for i in range(SHINGLE)], strict=False))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s) for s in whole), np.uint64))
+    words = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+    n = max(1, len(words) - SHINGLE + 1)
+    total = np.full(n, len(words) if len(words) < SHINGLE else SHINGLE, np.uint64)
+    for i in range(min(SHINGLE, len(words))):
+        total += _mixed(words[i : i + n] * np.uint64(_ODD[i]))
+    return np.unique(_mixed(total))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> list[int]:
+    """The set's fingerprint, as two signed 64-bit integers: a bit is set where over half of the shingles have it."""
+    ones = np.zeros(WIDTH, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)]
+        both = np.stack([_mixed(part * np.uint64(x)) for x in _ODD[SHINGLE:]], 1).astype("<u8")
+        ones += np.unpackbits(both.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8").tolist()
+
+
+def recall(key_bits: int, tables: int, differ: float = DIFFER) -> float:
+    """Probability that a pair whose bits differ with probability ``differ`` meets in a table and is within the budget."""
+    found = 0.0
+    for d in range(BUDGET + 1):
+        meet = math.comb(WIDTH - d, key_bits) / math.comb(WIDTH, key_bits)
+        found += math.comb(WIDTH, d) * differ**d * (1 - differ) ** (WIDTH - d) * (1 - (1 - meet) ** tables)
+    return found
+
+
+def sampled_bits(key_bits: int) -> np.ndarray:
+    """The bits of each table: rows of key_bits positions, as many tables as RECALL takes."""
+    tables = 1
+    while key_bits and recall(key_bits, tables) < RECALL:
+        tables += 1 + tables // 20
+    rng = np.random.default_rng(key_bits)
+    return np.stack([rng.permutation(WIDTH)[:key_bits] for _ in range(tables)])
+
 
+def table_keys(words: np.ndarray, sampled: np.ndarray) -> np.ndarray:
+    """Keys (rows by tables) of fingerprints (rows of two int64)."""
+    bits = np.unpackbits(np.ascontiguousarray(words, "<i8").view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little")
+    values = np.stack([bits[:, at].astype(np.int64) @ (1 << np.arange(len(at), dtype=np.int64)) for at in sampled], 1)
+    return values + (np.arange(len(sampled), dtype=np.int64) << 44)
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """A signed 64-bit key for each band of the MinHash signature."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        least = np.minimum(least, (hashes[at : at + 1024, None] * _FACTORS + _SHIFTS).min(axis=0))
-    keys = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, ROWS))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+def _words_of(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([batch.column("f1").to_numpy(), batch.column("f2").to_numpy()], 1)
+
+
+def candidate_groups(classes: DataFrame) -> DataFrame:
+    """(node, component) of the classes (node, f1, f2) that have another one within the budget."""
+    key_bits = max(0, round(math.log2(max(1, classes.count()) / SHARD)))
+    sampled = sampled_bits(key_bits)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = table_keys(_words_of(batch), sampled)
+            rows = np.repeat(np.arange(len(keys)), keys.shape[1])
+            columns = [pa.array(keys.reshape(-1)), *[batch.column(c).take(pa.array(rows)) for c in ("node", "f1", "f2")]]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "f1", "f2"])
+
+    placed = classes.select("node", "f1", "f2").mapInArrow(dealt, "key long, node long, f1 long, f2 long")
+    links = placed.repartition("key").sortWithinPartitions("key").mapInArrow(shard_links(BUDGET, LEAF), "a long, b long")
+    return components(links.distinct())
 
 
 def near(a: set[int], b: set[int]) -> bool:
@@ -59,74 +147,106 @@ def near(a: set[int], b: set[int]) -> bool:
     return NEAR[1] * both >= NEAR[0] * (len(a) + len(b) - both)
 
 
-def _linked(nodes: list[int], sets: list[set[int]]) -> list[tuple[int, int]]:
-    """Links that span the groups of one band's classes."""
-    forest = Forest(len(nodes))
-    for j in range(1, len(nodes)):
-        for i in range(j - 1, -1, -1):
-            if forest.top(i) != forest.top(j) and near(sets[i], sets[j]):
-                forest.join([(i, j)])
-    return [(nodes[i], nodes[j]) for i, j in forest.links]
+def _verified(nodes: list[int], words: list[tuple[int, int]], packed: list[bytes]) -> list[tuple[int, int]]:
+    """Links that span the groups of near-copies among some classes."""
+    values = np.array(words, np.int64).view(np.uint64).reshape(-1, 2)
+    order = np.lexsort((values[:, 1], values[:, 0]))
+    forest, sets = Forest(len(nodes)), {}
 
+    def set_of(k: int) -> set[int]:
+        if k not in sets:
+            sets[k] = set(np.frombuffer(packed[order[k]], "<u8").tolist())
+        return sets[k]
 
-def _band_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node, packed) in the order of key to links (a, b), a key at a time."""
-    held: tuple[list[int], list[set[int]]] = ([], [])
-    last = None
-    for batch in batches:
-        found: list[tuple[int, int]] = []
-        for key, node, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if key != last:
-                found += _linked(*held)
-                held, last = ([], []), key
-            held[0].append(node)
-            held[1].append(set(np.frombuffer(packed, "<u8").tolist()))
-        yield _links(found)
-    yield _links(_linked(*held))
+    for i, j in trie_join(values[order], BUDGET, None, LEAF, forest.groups):
+        distance = np.bitwise_count(values[order[i]] ^ values[order[j]]).sum(axis=1)
+        for part in np.array_split(np.argsort(distance, kind="stable"), 1 + len(i) // 4096):  # the nearest join first
+            forest.join(i[part], j[part], lambda x, y: near(set_of(x), set_of(y)))
+    return [(nodes[order[a]], nodes[order[b]]) for a, b in forest.links]
 
 
-def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, node, f1, f2, packed) in the order of key to links (a, b), a key at a time."""
 
+    def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: tuple[list, list, list] = ([], [], [])
+    last = None
     for batch in batches:
-        keys = [bands(shingles(x.as_py())) for x in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("doc_id"), pa.array(keys, pa.list_(pa.int64()))], ["h", "doc_id", "bands"])
+        for key, node, f1, f2, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != last:
+                if len(held[0]) > 1:
+                    yield links(_verified(*held))
+                held, last = ([], [], []), key
+            held[0].append(node)
+            held[1].append((f1, f2))
+            held[2].append(packed)
+    if len(held[0]) > 1:
+        yield links(_verified(*held))
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, f1, f2, component, n, text) to (key, node, f1, f2, packed), once for a group of at most CROWD, else once a table."""
+    known: dict[int, np.ndarray] = {}
     for batch in batches:
-        sets = [shingles(x.as_py()).astype("<u8").tobytes() for x in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "packed"])
-
-
-def near_links(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between nodes that span the groups of near-copies; texts (h, doc_id, text), classes (node, h, first, bands)."""
-    keyed = classes.select("node", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    met = materialize(keyed.join(shared, "key"), "near-bands")
-    wanted = classes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("h").alias("__h"), "first")
-    rows = texts.join(wanted, (F.col("h") == F.col("__h")) & F.col("doc_id").eqNullSafe(F.col("first"))).select("node", "text")
-    sets = rows.mapInArrow(_packed, "node long, packed binary").dropDuplicates(["node"])
-    placed = met.join(sets, "node").select("key", "node", "packed").repartition("key").sortWithinPartitions("key", "node")
-    return placed.mapInArrow(_band_links, "a long, b long").distinct()
+        names = ("node", "f1", "f2", "component", "n", "text")
+        for node, f1, f2, component, n, text in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            # near-copies agree in most bits, so that a bit halves a shard but half the way
+            bits = 0 if n <= CROWD else min(40, math.ceil(2 * math.log2(n / CROWD)))
+            if bits not in known:
+                known[bits] = sampled_bits(bits)
+            keys = table_keys(np.array([[f1, f2]], np.int64), known[bits])[0]
+            mixed = _mixed(keys.view(np.uint64) + _mixed(np.array([component], np.uint64))).view(np.int64) if bits else np.array([component])
+            k = len(mixed)
+            packed = shingles(text).astype("<u8").tobytes()
+            columns = [pa.array(mixed, pa.int64()), *[pa.array([x] * k, pa.int64()) for x in (node, f1, f2)], pa.array([packed] * k, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "f1", "f2", "packed"])
+
+
+def near_groups(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, component) of the classes (node, id, t, f1, f2) that have near-copies; texts (doc_id, t, text)."""
+    groups = candidate_groups(classes)
+    sizes = groups.groupBy(F.col("component").alias("__c")).agg(F.count("*").alias("n"))
+    members = groups.join(sizes, F.col("component") == F.col("__c")).select(F.col("node").alias("__node"), "component", "n")
+    wanted = classes.join(members, F.col("node") == F.col("__node")).select(_row_key(F.col("t"), F.col("id")).alias("__wanted"), "node", "f1", "f2", "component", "n")
+    rows = texts.join(wanted, _row_key(F.col("t"), F.col("doc_id")) == F.col("__wanted")).select("node", "f1", "f2", "component", "n", "text")
+    # a text under a repeated doc_id comes as often as its rows; equal members are harmless, and go here where they are many
+    sets = rows.dropDuplicates(["node"]).mapInArrow(_packed, "key long, node long, f1 long, f2 long, packed binary")
+    placed = sets.repartition("key").sortWithinPartitions("key")
+    return components(placed.mapInArrow(_group_links, "a long, b long").distinct())
+
+
+def _row_key(t: Column, id_: Column) -> Column:
+    """One key for a text's hash and a doc_id that may be null."""
+    return F.unhex(F.md5(F.concat(t, F.coalesce(id_.cast("string"), F.lit("none")).cast("binary"))))
+
+
+def _text_hash(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs, all columns as they were, with one row of each group of near-copies."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    own = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    texts = docs.select(own.alias("h"), "doc_id", "text")
-    signed = materialize(texts.mapInArrow(_signed, f"h binary, doc_id {kind}, bands array<long>"), "near-signatures")
-    # min skips nulls: the id is null only where no row of the text has one
-    once = signed.groupBy("h").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
-    classes = materialize(once.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    found = components(near_links(texts, classes)).withColumnRenamed("node", "__node")
-    group = classes.select("node", "h", "first").join(found, F.col("node") == F.col("__node"), "left")
-    best = F.min(F.struct(F.col("first").isNull().alias("none"), F.col("first").alias("id"), F.col("h").alias("h")))
-    kept = materialize(group.groupBy(F.coalesce("component", "node").alias("c")).agg(best.alias("x")).select("x.h", "x.id"), "near-kept")
-    kept = kept.select(F.col("h").alias("__kept"), F.col("id").alias("__id"))
-    marked = docs.withColumn("__h", own)
-    chosen = marked.join(kept, (F.col("__h") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return chosen.dropDuplicates(["__h"]).drop("__h")
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(x.as_py()) for x in batch.column("text")]
+            words = np.array([wide_fingerprint(s) for s in sets], np.int64).reshape(-1, 2)
+            hashes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            columns = [batch.column("doc_id"), batch.column("t"), hashes, pa.array(words[:, 0]), pa.array(words[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "h", "f1", "f2"])
+
+    texts = docs.select("doc_id", _text_hash(F.col("text")).alias("t"), "text")
+    rows = materialize(texts.mapInArrow(signed, f"doc_id {kind}, t binary, h binary, f1 long, f2 long"), "near-signatures")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("t").alias("t"))).alias("x")
+    once = rows.groupBy("h").agg(best, F.first("f1").alias("f1"), F.first("f2").alias("f2"))
+    classes = materialize(once.select(F.monotonically_increasing_id().alias("node"), "x", "x.id", "x.t", "f1", "f2"), "near-classes")
+    found = near_groups(texts, classes).withColumnRenamed("node", "__node")
+    group = classes.join(found, F.col("node") == F.col("__node"), "left")
+    kept = group.groupBy(F.coalesce("component", "node").alias("c")).agg(F.min("x").alias("x")).select("x.t", "x.id")
+    kept = materialize(kept.select(_row_key(F.col("t"), F.col("id")).alias("__kept")), "near-kept")
+    # one shuffle of the texts: the semi-join and the removal of repeated rows deal by the same key
+    marked = docs.withColumn("__key", _row_key(_text_hash(F.col("text")), F.col("doc_id")))
+    return marked.join(kept, F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key"]).drop("__key")

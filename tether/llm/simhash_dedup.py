@@ -8,16 +8,18 @@ together a bit at a time, adds differing bits and drops a pair beyond the budget
 are divided once more, in the same lossless way, over the remaining bits.
 
 A shard reports a spanning forest of its links, so its output is no larger than its input however close a group of
-fingerprints is; components are found from these.
+fingerprints is, and pairs of subtrees that hang together already are not walked; components are found from these.
 
-Defined results: null texts and texts without words have fingerprint zero and link like any other; null doc_ids get a
-fingerprint but are no component's smallest id; repeated rows are returned as often as they occur; an empty table
-gives an empty result; other columns are ignored.
+Defined results: null texts and texts without words have fingerprint zero and link like any other; very long texts are
+hashed whole, in pieces of bounded memory; rows without doc_id link like any other, so they can bridge two groups, but are
+no group's smallest id: a group of such rows only has a null component_id; ties of ones and zeros in a bit give zero;
+repeated rows are returned as often as they occur; an empty table gives an empty result; other columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -83,45 +85,53 @@ def _block_value(fp: str, bits: list[int]) -> str:
     return f"(shiftrightunsigned({fp}, {bits[0]}) & {(1 << len(bits)) - 1}L)"
 
 
-def trie_join(values: np.ndarray, most: int = MOST, starts: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of positions (i < j) in values (distinct uint64) that differ in at most ``most`` bits.
+def trie_join(
+    values: np.ndarray, most: int = MOST, starts: np.ndarray | None = None, leaf: int = 1, groups: Callable[[], np.ndarray] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of positions (i < j) in values that differ in at most ``most`` bits.
 
-    values are one sorted trie, or several that begin at ``starts`` and are joined each with itself. A node is a run of values with a common prefix. Pairs of nodes are kept as arrays of run bounds, and walked depth
-    first in pieces of FRONTIER pairs, so memory is bounded whatever the number of pairs.
+    values: distinct uint64 in order, or rows of several, the highest word first. They are one trie, or several that begin
+    at ``starts`` and are joined each with itself. A node is a run of values with a common prefix. Pairs of nodes are kept
+    as arrays of run bounds and walked depth first in pieces of FRONTIER pairs, so memory is bounded whatever the number of
+    pairs. Two runs of at most ``leaf`` values are compared at once. ``groups`` gives the group of each position so far: a
+    pair of runs that lies in one group is left out.
     """
     n = len(values)
     if n < 2:
         return
+    rows = values.reshape(n, -1)
     at = np.zeros(1, np.int64) if starts is None else starts
     ends = np.append(at[1:], n)
-    tops = [np.stack([at, ends, at, ends, np.zeros_like(at), np.full_like(at, BITS - 1)], 1)[ends - at > 1]]
+    tops = [np.stack([at, ends, at, ends, np.zeros_like(at), np.zeros_like(at)], 1)[ends - at > 1]]
     while tops:
         pairs = tops.pop()
-        if not len(pairs):
-            continue
         if len(pairs) > FRONTIER:
             tops += [pairs[FRONTIER:], pairs[:FRONTIER]]
             continue
-        depth = pairs[0, 5]
-        if depth < 0:
-            i, j = pairs[:, 0], pairs[:, 2]
-            off = i < j
-            yield i[off], j[off]
+        if groups is not None and len(pairs):
+            group = groups()
+            turns = np.append(0, np.cumsum(group[1:] != group[:-1]))
+            a, b = pairs[:, 0], pairs[:, 2]
+            even = (turns[a] == turns[pairs[:, 1] - 1]) & (turns[b] == turns[pairs[:, 3] - 1])
+            pairs = pairs[~(even & (group[a] == group[b]))]
+        if not len(pairs):
             continue
-        # leaves: both runs hold one value, so count the bits that are left at once
-        single = (pairs[:, 1] - pairs[:, 0] == 1) & (pairs[:, 3] - pairs[:, 2] == 1)
-        if single.any():
-            i, j = pairs[single, 0], pairs[single, 2]
-            near = (i < j) & (np.bitwise_count(values[i] ^ values[j]) <= most)
+        depth = int(pairs[0, 5])
+        sizes = pairs[:, 1:4:2] - pairs[:, 0:4:2]
+        last = (sizes <= (leaf if depth < rows.shape[1] * BITS else n)).all(axis=1)
+        for few in _pieces(pairs[last], sizes[last].prod(axis=1)):
+            i, j = _all_pairs(few)
+            i, j = i[i < j], j[i < j]
+            near = np.bitwise_count(rows[i] ^ rows[j]).sum(axis=1) <= most
             if near.any():
                 yield i[near], j[near]
-            pairs = pairs[~single]
-            if not len(pairs):
-                continue
-        bit = np.uint64(1) << np.uint64(depth)
+        pairs = pairs[~last]
+        if not len(pairs):
+            continue
+        bit = np.uint64(1) << np.uint64(BITS - 1 - depth % BITS)
         a0, a1, b0, b1, d = pairs[:, 0], pairs[:, 1], pairs[:, 2], pairs[:, 3], pairs[:, 4]
         # within a run the bits above are equal, so the run splits where this bit becomes one
-        ones = np.concatenate([[0], np.cumsum((values & bit) != 0)])
+        ones = np.concatenate([[0], np.cumsum((rows[:, depth // BITS] & bit) != 0)])
         am, bm = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])
         same = (a0 == b0) & (a1 == b1)
         left = np.stack([a0, am, b0, bm, d], 1)
@@ -131,70 +141,105 @@ def trie_join(values: np.ndarray, most: int = MOST, starts: np.ndarray | None =
         down = np.concatenate([left, right, cross, back])
         down = down[(down[:, 0] < down[:, 1]) & (down[:, 2] < down[:, 3]) & (down[:, 4] <= most)]
         if len(down):
-            tops.append(np.column_stack([down, np.full(len(down), depth - 1)]))
+            tops.append(np.column_stack([down, np.full(len(down), depth + 1)]))
+
+
+def _pieces(pairs: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """pairs in runs whose sizes add up to about FRONTIER."""
+    if len(pairs):
+        part = np.cumsum(sizes) // FRONTIER
+        yield from np.split(pairs, np.flatnonzero(part[1:] != part[:-1]) + 1)
+
+
+def _all_pairs(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every position of the first run with every one of the second, for rows (start, end, start, end)."""
+    width = runs[:, 3] - runs[:, 2]
+    count = (runs[:, 1] - runs[:, 0]) * width
+    k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    wide = np.repeat(width, count)
+    return np.repeat(runs[:, 0], count) + k // wide, np.repeat(runs[:, 2], count) + k % wide
 
 
 class Forest:
     """Union-find over positions; keeps the links that joined two groups."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
+        self.up = np.arange(n)
         self.links: list[tuple[int, int]] = []
 
+    def groups(self) -> np.ndarray:
+        """The group of every position: its smallest position."""
+        while (self.up[self.up] != self.up).any():
+            self.up = self.up[self.up]
+        return self.up
+
     def top(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    def join(self, pairs: Iterator[tuple[int, int]]) -> None:
-        for i, j in pairs:
-            a, b = self.top(i), self.top(j)
-            if a != b:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return int(i)
+
+    def open(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs whose ends are in different groups."""
+        group = self.groups()
+        apart = group[i] != group[j]
+        return i[apart], j[apart]
+
+    def join(self, i: np.ndarray, j: np.ndarray, test: Callable[[int, int], bool] | None = None) -> None:
+        """Join the groups of pairs, in order; only of those that pass ``test``, which pairs joined already need not take."""
+        i, j = self.open(i, j)
+        if test is None and len(i):  # one link between two groups is enough
+            keys = np.sort(np.stack([self.up[i], self.up[j]]), axis=0)
+            first = np.unique(keys[0] * len(self.up) + keys[1], return_index=True)[1]
+            i, j = i[first], j[first]
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            a, b = self.top(x), self.top(y)
+            if a != b and (test is None or test(x, y)):
                 self.up[max(a, b)] = min(a, b)
-                self.links.append((i, j))
+                self.links.append((x, y))
 
 
-def _forest_links(keys: np.ndarray, fps: np.ndarray, reps: np.ndarray) -> np.ndarray:
-    """Links between reps, as rows (a, b), that span the linked classes of every shard."""
-    order = np.lexsort((fps, keys))
-    keys, fps, reps = keys[order], fps[order], reps[order]
+def _forest_links(keys: np.ndarray, words: np.ndarray, nodes: np.ndarray, most: int, leaf: int) -> np.ndarray:
+    """Links between nodes, as rows (a, b), that span the linked nodes of every shard; words: rows of fingerprint words."""
+    order = np.lexsort((*words.T[::-1], keys))
+    keys, words, nodes = keys[order], words[order], nodes[order]
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    forest = Forest(len(fps))
-    for i, j in trie_join(fps, starts=starts):
-        forest.join(zip(i.tolist(), j.tolist(), strict=True))
-    return reps[np.array(forest.links, np.int64).reshape(-1, 2)]
+    forest = Forest(len(nodes))
+    for i, j in trie_join(words, most, starts, leaf, forest.groups):
+        forest.join(i, j)
+    return nodes[np.array(forest.links, np.int64).reshape(-1, 2)]
 
 
-def _shard_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, fp, rep) in the order of key to links (a, b), a chunk of whole shards at a time."""
+def shard_links(most: int = MOST, leaf: int = 1) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, node, words of the fingerprint) in the order of key to links (a, b), a chunk of whole shards at a time."""
 
     def links(rows: np.ndarray) -> pa.RecordBatch:
-        found = _forest_links(rows[0], rows[1].view(np.uint64), rows[2])
+        found = _forest_links(rows[0], np.ascontiguousarray(rows[2:].T).view(np.uint64), rows[1], most, leaf)
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
-    held: list[np.ndarray] = []
-    n = 0
-    for batch in batches:
-        held.append(np.stack([c.to_numpy() for c in batch.columns]))
-        n += batch.num_rows
-        if n >= CHUNK:
-            rows = np.concatenate(held, axis=1)
-            cut = int(np.searchsorted(rows[0], rows[0, -1]))  # the last shard may go on
-            if cut:
-                yield links(np.ascontiguousarray(rows[:, :cut]))
-            held, n = [rows[:, cut:]], 0
-    if held and held[0].shape[1] + n:
-        yield links(np.concatenate(held, axis=1))
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        n = 0
+        for batch in batches:
+            held.append(np.stack([c.to_numpy() for c in batch.columns]))
+            n += batch.num_rows
+            if n >= CHUNK:
+                rows = np.concatenate(held, axis=1)
+                cut = int(np.searchsorted(rows[0], rows[0, -1]))  # the last shard may go on
+                if cut:
+                    yield links(np.ascontiguousarray(rows[:, :cut]))
+                held, n = [rows[:, cut:]], 0
+        if held and held[0].shape[1] + n:
+            yield links(np.concatenate(held, axis=1))
+
+    return join
 
 
 def near_links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
-    """Links (a, b) between the classes (fp, rep) that span every group of linked classes."""
+    """Links (a, b) between the distinct fingerprints fp of classes that span every group of linked ones."""
     parts = MOST + 1
     whole = list(range(BITS))
     keys = [F.struct(F.lit(k).alias("k"), F.expr(_block_value("fp", bits)).alias("v")) for k, bits in enumerate(blocks(whole, parts))]
-    dealt = classes.select("fp", "rep", F.explode(F.array(*keys)).alias("x")).select("fp", "rep", "x.k", "x.v")
+    dealt = classes.select("fp", F.explode(F.array(*keys)).alias("x")).select("fp", "x.k", "x.v")
     # at most (MOST + 1) * 2 ** 16 keys, whatever the number of documents
     crowded = dealt.groupBy("k", "v").agg(F.count("*").alias("n")).where(F.col("n") > shard).select("k", "v", F.lit(True).alias("crowded"))
     dealt = dealt.join(F.broadcast(crowded), ["k", "v"], "left")
@@ -206,13 +251,13 @@ def near_links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
         sub = [F.struct(F.lit(i).alias("k2"), F.expr(_block_value(closed, b)).alias("v2")) for i, b in enumerate(blocks(list(range(len(rest))), parts))]
         again.append(F.when((F.col("k") == k) & F.col("crowded"), F.array(*sub)))
     once = F.array(F.struct(F.lit(-1).alias("k2"), F.lit(0).cast("long").alias("v2")))
-    placed = dealt.select("fp", "rep", "k", "v", F.explode(F.coalesce(*again, once)).alias("y"))
+    placed = dealt.select("fp", "k", "v", F.explode(F.coalesce(*again, once)).alias("y"))
     key = F.expr("shiftleft(k * 8L + y.k2 + 1, 40) | shiftleft(v, 20) | y.v2")
     return (
-        placed.select(key.alias("key"), "fp", "rep")
+        placed.select(key.alias("key"), F.col("fp").alias("node"), "fp")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_shard_links, "a long, b long")
+        .mapInArrow(shard_links(), "a long, b long")
         .distinct()
     )
 
@@ -221,25 +266,18 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row of docs."""
     printed = materialize(fingerprints(docs), "fingerprints")
     classes = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-classes")
-    found = components(near_links(classes.where("rep IS NOT NULL")))
-    named = classes.join(found, F.col("rep") == F.col("node"), "left").select(
-        F.col("fp").alias("__fp"), F.coalesce("component", "rep").alias("component_id")
+    found = components(near_links(classes.select("fp"))).withColumnRenamed("component", "__group")
+    grouped = materialize(
+        classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("__group", "fp").alias("__group")), "fingerprint-groups"
     )
+    # min skips nulls: a group's id is null only where none of its rows has one
+    least = grouped.groupBy(F.col("__group").alias("__g")).agg(F.min("rep").alias("component_id"))
+    named = grouped.join(least, F.col("__group") == F.col("__g")).select(F.col("fp").alias("__fp"), "component_id")
     named = materialize(named, "fingerprint-components")
     return printed.join(named, F.col("fp") == F.col("__fp")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group of near-duplicates: the one whose doc_id is the group's smallest.
-
-    Rows without doc_id are dropped, and of a doc_id with several texts any one stays; ``near_copies.keep_one``, which the
-    pipeline uses, loses neither.
-    """
-    kept = simhash_dedup(docs.where("doc_id IS NOT NULL")).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
