@@ -3,31 +3,19 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import materialize as materialize
+from .shared import scratch as scratch
+
 #: A null marker that no file holds, so that quoted empty fields stay empty text and unquoted ones become null.
 _NO_NULL = "\u0000"
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share; a temporary one only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{named.rstrip('/')}/tether-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back, for results that a plan would compute several times."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read_csv(spark: SparkSession, path: str, columns: list[str], types: dict[str, str] | None = None) -> DataFrame:
     """A CSV file with header, all columns read as text (ids keep their zeros), then cast; cells that do not fit are null.
 
