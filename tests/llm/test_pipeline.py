@@ -1,8 +1,14 @@
 """Stages of the corpus pipeline on planted documents."""
 
+import collections
 import random
+import re
+
+import pytest
 
 import corpus_pipeline
+from tether.llm import mixing, near_copies, packing, quality_classifier, quality_rules
+from tether.llm.common import materialize, table
 
 
 def made(spark, rows):
@@ -34,8 +40,8 @@ def test_classifier_stage_learns_from_rows_that_were_filtered_before(spark, tmp_
 
 
 def five_words(text):
-    w = text.split()
-    return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or {text}
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
+    return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or {" ".join(w)}
 
 
 def test_near_duplicates_stage_finds_pairs_of_similarity_0_8(spark):
@@ -54,6 +60,33 @@ def test_near_duplicates_stage_finds_pairs_of_similarity_0_8(spark):
     assert kept == {2 * i for i in range(60)} | {2 * i + 1 for i in far}
 
 
+def test_near_duplicates_of_close_families_equal_brute_force(spark, monkeypatch):
+    """Families of texts around an original, with short texts and copies; all groups, also where they are dealt once more."""
+    rng = random.Random(10)
+    rows = []
+    for _ in range(12):
+        base = prose(rng, rng.choice([8, 30, 120]), 2000).split()
+        for _ in range(rng.choice([3, 25])):
+            words = list(base)
+            for at in rng.sample(range(len(words)), rng.randint(0, len(words) // 25 + 1)):
+                words[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows) + k, rows[k][1].upper()) for k in range(10)]
+    sets = [five_words(t.lower()) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j]) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    docs = made(spark, [(i, t, "en", "a") for i, t in rows])
+    assert {r.doc_id for r in near_copies.keep_one(docs).collect()} == set(group)
+    monkeypatch.setattr(near_copies, "CROWD", 5)
+    monkeypatch.setattr(near_copies, "SHARD", 16)
+    kept = {r.doc_id for r in near_copies.keep_one(docs).collect()}
+    assert set(group) <= kept and len(kept - set(group)) <= 2
+
+
 def test_near_duplicates_stage_keeps_texts_without_or_under_the_same_id(spark):
     rng = random.Random(9)
     a, b, c, d, e = (prose(rng, 100, 3000) for _ in range(5))
@@ -64,3 +97,76 @@ def test_near_duplicates_stage_keeps_texts_without_or_under_the_same_id(spark):
     found = sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str)
     assert found == sorted([(None, a), (None, b), (1, c), (1, d), (3, e), (None, "")], key=str)
     assert stage(spark, made(spark, []), "").count() == 0
+
+
+ODD = [(None, "null id " * 30), (None, None), (3, ""), (4, "short"), (5, "la " * 30000), (5, "another text under five " * 20), (6, "same words here " * 20), (6, "same words here " * 20)]
+
+
+def odd(spark, rows=ODD):
+    """Rows with nulls, empties, repeats and a very long text, and columns whose names stages use themselves."""
+    docs = spark.createDataFrame([(*r, None if i % 3 else "en", None if i % 4 else "a") for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    return docs.selectExpr("*", "1 AS kept", "2 AS size", "'x' AS cut", "3 AS n", "4 AS component", "5 AS score", "6 AS key", "'t' AS t", "7 AS h", "8 AS copies", "9 AS piece", "10 AS length")
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_odd_rows(spark, tmp_path, empty):
+    docs = odd(spark).limit(0) if empty else odd(spark)
+    odd(spark).select("doc_id", "text", "lang", "source").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(4, 0, 0), (5, 1, 0), (None, 1, 1), (6, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = collections.Counter((r.doc_id, r.text) for r in docs.collect())
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns or name == "best-fit packing"
+        found = got.collect()
+        if empty:
+            assert not found
+            continue
+        have = collections.Counter((r.doc_id, r.text) for r in found) if name != "best-fit packing" else None
+        if name in ("quality rules", "quality classifier"):  # repeated rows share a fate
+            assert all(have[k] in (0, n) for k, n in rows.items()) and set(have) <= set(rows)
+        elif name == "SimHash near-duplicates":
+            assert have == {k: 1 for k in rows if k != (None, None)}  # a null text equals an empty one, and a row with id goes first
+        elif name == "mixing":
+            assert set(have) <= set(rows) and all(have[k] <= 3 * rows[k] for k in have)
+        else:
+            assert sorted({str(r.doc_id) for r in found}) == sorted({str(k[0]) for k in rows}) and max(r.offset + r.length for r in found) <= packing.CAPACITY
+
+
+def test_pipeline(spark):
+    """Every stage on what the one before kept, each against a plain version of it."""
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "quality classifier", "SimHash near-duplicates", "mixing", "best-fit packing"]
+    outs = []
+    for _, stage in corpus_pipeline.STAGES:
+        outs.append(materialize(stage(spark, docs, sf), "stage"))
+        docs = outs[-1]
+    first, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    assert all(o.columns == first.columns for o in outs[:4])
+    want = {r.doc_id for r in quality_rules.quality_rules(first).collect() if r.kept}
+    assert {r.doc_id for r in outs[0].collect()} == want
+    machine = quality_classifier.fit(first, labels)
+    assert {r.doc_id for r in outs[1].collect()} == {r.doc_id for r in outs[0].collect() if machine.score(*machine.inputs(*quality_classifier.features(r.text))) >= 0.5}
+    texts = {r.doc_id: five_words(lowered(r.text)) for r in outs[1].collect()}
+    ids = sorted(texts)
+    group = {i: i for i in ids}
+    for b in ids:
+        for a in ids:
+            if a < b and group[a] != group[b] and len(texts[a] & texts[b]) * 5 >= 4 * len(texts[a] | texts[b]):
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    assert len(set(group.values())) < len(ids) and {r.doc_id for r in outs[2].collect()} == set(group.values())
+    sizes = mixing.word_sizes(outs[2])
+    taken = {r.doc_id: r.copies for r in mixing.place(sizes, sizes["size"], mixing.plan(sizes)).collect()}
+    assert collections.Counter(r.doc_id for r in outs[3].collect()) == collections.Counter(taken)
+    used = outs[4].groupBy("sequence_id").sum("length").collect()
+    assert max(r[1] for r in used) <= packing.CAPACITY and len(used) == -(-sum(r[1] for r in used) // packing.CAPACITY)
+    assert collections.Counter(r.doc_id for r in outs[4].where("piece = 0").collect()) == collections.Counter(taken)
+    full = corpus_pipeline.run(spark, sf)
+    assert full.columns == outs[4].columns and full.count() == outs[4].count()
+    clean = {r.doc_id for r in labels.where("quality = 1").collect()}
+    assert len(clean & {r.doc_id for r in outs[1].collect()}) >= 0.95 * len(clean)
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")

@@ -3,12 +3,13 @@
 Near-copies are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. Equal sets are one class,
 so copies cost nothing. A class has a fingerprint of 128 bits, in which two sets at 0.8 differ in 15 % of the bits (19 %
 for the smallest sets), some up to 32. No block of bits that long agrees for certain, so shards are tables that each
-sample ``key_bits`` of the 128, as many tables as find a pair at 0.8 with probability RECALL. Shards keep about the same
+sample some of the 128 bits, as many tables as find a pair at 0.8 with probability 0.99. Shards keep about the same
 size however many classes there are: the key grows with their logarithm, and the tables with it. Within a shard the
 binary trie self-join of op10 finds the pairs within 32 bits. They make candidate groups, a spanning forest of links each.
 
 A candidate group's shingle sets then meet in one task, once, where the trie join runs over the group and each pair within
-the budget that is not joined already is compared exactly. Groups of over CROWD classes are dealt anew into tables of
+the budget that is not joined already is compared exactly (in large groups, if 1024 bits of fingerprint differ in no more
+than pairs at 0.8 do). Groups of over CROWD classes are dealt anew into tables of
 longer keys first. Groups of near-copies are the connected components of the links that hold.
 
 Defined results: words are compared without regard to ASCII case; a text of at most five words is one shingle; null texts
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .components import components
 from .simhash_dedup import _LOWER, Forest, shard_links, trie_join
+from .tables import Tables, bits_of, mixed
 
 SHINGLE = 5
 #: Least Jaccard similarity of near-copies, as a ratio of integers.
@@ -41,81 +43,79 @@ WIDTH = 128
 BUDGET = 32
 #: Share of bits in which two large sets of similarity 0.8 differ: the angle between them over pi.
 DIFFER = math.acos(8 / 9) / math.pi
-#: Probability that a pair at 0.8 meets in a shard and is within the budget; nearer pairs are found more surely.
-RECALL = 0.99
+#: A pair at 0.8 meets in a shard within the budget with a probability of 0.99; nearer pairs are found more surely.
+TABLES = Tables(WIDTH, DIFFER, 0.99, BUDGET)
 #: Classes that a shard holds on average.
-SHARD = 512
+SHARD = 256
 #: Classes of a candidate group whose shingles meet in one task.
 CROWD = 4096
 #: Runs of this many classes are compared at once: a budget this wide prunes nothing near the leaves.
-LEAF = 32
-_ODD = [int(x) | 1 for x in np.random.default_rng(11).integers(0, 2**63, SHINGLE + 2)]
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """x (uint64) with every bit dependent on all others."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Words(dict):
-    """Hash of each word; bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_WORDS = _Words()
+LEAF = 128
+#: Words of the fingerprint by which pairs of sets of LARGE shingles or more, in groups of as many, are tried before the exact
+#: comparison, and their bit budget: three deviations more than two sets at 0.8 differ on average.
+FINE, LARGE = 16, 64
+FINE_BUDGET = math.ceil(64 * FINE * DIFFER + 3 * math.sqrt(64 * FINE * DIFFER * (1 - DIFFER)))
+_FACTORS = np.random.default_rng(11).integers(0, 2**63, FINE, np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = [int(x) | 1 for x in np.random.default_rng(13).integers(0, 2**63, SHINGLE)]
+
+
+#: Bytes of a text that are hashed at once, up to the next white space.
+STRETCH = 1 << 20
+_RANDOM = np.random.default_rng(12)
+_BYTES = _RANDOM.integers(0, 2**64, 256, np.uint64)
+_BASE = np.uint64(_RANDOM.integers(0, 2**63) | 1)
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.full(n, _BASE, np.uint64))
+
+
+_POWERS = _powers(256)
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A hash of each word: random values of its bytes times the powers of a random odd number, added and mixed."""
+    found = []
+    at = 0
+    while at < len(data):
+        end = at + STRETCH
+        while end < len(data) and not _SPACE[data[end]]:
+            end += 1
+        part = np.frombuffer(data, np.uint8, min(end, len(data)) - at, at)
+        at = end
+        inside = ~_SPACE[part]
+        first = np.flatnonzero(inside & np.append(True, ~inside[:-1]))
+        if not len(first):
+            continue
+        letters = part[inside]
+        starts = np.append(0, np.cumsum(inside))[first]  # of words among the letters
+        sizes = np.diff(starts, append=len(letters))
+        place = np.arange(len(letters)) - np.repeat(starts, sizes)
+        powers = _POWERS if sizes.max() <= len(_POWERS) else _powers(int(sizes.max()))
+        found.append(mixed(np.add.reduceat(_BYTES[letters] * powers[place], starts) + sizes.astype(np.uint64)))
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted hashes of the text's distinct five-word shingles, one at least."""
-    found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    words = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+    words = word_hashes((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
     n = max(1, len(words) - SHINGLE + 1)
-    total = np.full(n, len(words) if len(words) < SHINGLE else SHINGLE, np.uint64)
+    total = np.full(n, min(len(words), SHINGLE), np.uint64)
     for i in range(min(SHINGLE, len(words))):
-        total += _mixed(words[i : i + n] * np.uint64(_ODD[i]))
-    return np.unique(_mixed(total))
-
-
-def wide_fingerprint(hashes: np.ndarray) -> list[int]:
-    """The set's fingerprint, as two signed 64-bit integers: a bit is set where over half of the shingles have it."""
-    ones = np.zeros(WIDTH, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        both = np.stack([_mixed(part * np.uint64(x)) for x in _ODD[SHINGLE:]], 1).astype("<u8")
-        ones += np.unpackbits(both.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8").tolist()
-
-
-def recall(key_bits: int, tables: int, differ: float = DIFFER) -> float:
-    """Probability that a pair whose bits differ with probability ``differ`` meets in a table and is within the budget."""
-    found = 0.0
-    for d in range(BUDGET + 1):
-        meet = math.comb(WIDTH - d, key_bits) / math.comb(WIDTH, key_bits)
-        found += math.comb(WIDTH, d) * differ**d * (1 - differ) ** (WIDTH - d) * (1 - (1 - meet) ** tables)
-    return found
-
-
-def sampled_bits(key_bits: int) -> np.ndarray:
-    """The bits of each table: rows of key_bits positions, as many tables as RECALL takes."""
-    tables = 1
-    while key_bits and recall(key_bits, tables) < RECALL:
-        tables += 1 + tables // 20
-    rng = np.random.default_rng(key_bits)
-    return np.stack([rng.permutation(WIDTH)[:key_bits] for _ in range(tables)])
+        total += words[i : i + n] * np.uint64(_ODD[i])
+    total = np.sort(mixed(total))
+    return total[np.append(True, total[1:] != total[:-1])]
 
 
-def table_keys(words: np.ndarray, sampled: np.ndarray) -> np.ndarray:
-    """Keys (rows by tables) of fingerprints (rows of two int64)."""
-    bits = np.unpackbits(np.ascontiguousarray(words, "<i8").view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little")
-    values = np.stack([bits[:, at].astype(np.int64) @ (1 << np.arange(len(at), dtype=np.int64)) for at in sampled], 1)
-    return values + (np.arange(len(sampled), dtype=np.int64) << 44)
+def wide_fingerprint(hashes: np.ndarray, words: int = WIDTH // 64) -> np.ndarray:
+    """The set's fingerprint, in words of 64 bits: a bit is set where over half of the shingles have it."""
+    ones = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), 1 << 13):
+        part = hashes[at : at + (1 << 13)]
+        each = mixed(part[:, None] * _FACTORS[None, :words]).astype("<u8")
+        ones += np.unpackbits(each.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
 
 
 def _words_of(batch: pa.RecordBatch) -> np.ndarray:
@@ -125,11 +125,10 @@ def _words_of(batch: pa.RecordBatch) -> np.ndarray:
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """(node, component) of the classes (node, f1, f2) that have another one within the budget."""
     key_bits = max(0, round(math.log2(max(1, classes.count()) / SHARD)))
-    sampled = sampled_bits(key_bits)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = table_keys(_words_of(batch), sampled)
+            keys = TABLES.keys(bits_of(_words_of(batch)), key_bits, np.zeros(batch.num_rows, np.uint64))
             rows = np.repeat(np.arange(len(keys)), keys.shape[1])
             columns = [pa.array(keys.reshape(-1)), *[batch.column(c).take(pa.array(rows)) for c in ("node", "f1", "f2")]]
             yield pa.RecordBatch.from_arrays(columns, ["key", "node", "f1", "f2"])
@@ -151,18 +150,28 @@ def _verified(nodes: list[int], words: list[tuple[int, int]], packed: list[bytes
     """Links that span the groups of near-copies among some classes."""
     values = np.array(words, np.int64).view(np.uint64).reshape(-1, 2)
     order = np.lexsort((values[:, 1], values[:, 0]))
+    own = [np.frombuffer(packed[k], "<u8") for k in order.tolist()]
+    sizes = np.array([len(x) for x in own])
+    fine = np.stack([wide_fingerprint(x, FINE) for x in own]) if len(own) >= LARGE else None
     forest, sets = Forest(len(nodes)), {}
 
     def set_of(k: int) -> set[int]:
         if k not in sets:
-            sets[k] = set(np.frombuffer(packed[order[k]], "<u8").tolist())
+            sets[k] = set(own[k].tolist())
         return sets[k]
 
     for i, j in trie_join(values[order], BUDGET, None, LEAF, forest.groups):
-        distance = np.bitwise_count(values[order[i]] ^ values[order[j]]).sum(axis=1)
+        i, j = forest.open(i, j)
+        low, high = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+        likely = NEAR[1] * low >= NEAR[0] * high
+        distance = np.bitwise_count(values[order[i]] ^ values[order[j]]).sum(axis=1, dtype=np.int64)
+        if fine is not None:
+            far = np.concatenate([np.bitwise_count(fine[i[at : at + 8192]] ^ fine[j[at : at + 8192]]).sum(axis=1, dtype=np.int64) for at in range(0, len(i) + 1, 8192)])
+            likely &= (low < LARGE) | (far <= FINE_BUDGET)
+        i, j, distance = i[likely], j[likely], distance[likely]
         for part in np.array_split(np.argsort(distance, kind="stable"), 1 + len(i) // 4096):  # the nearest join first
-            forest.join(i[part], j[part], lambda x, y: near(set_of(x), set_of(y)))
-    return [(nodes[order[a]], nodes[order[b]]) for a, b in forest.links]
+            forest.join_if(i[part], j[part], lambda x, y: near(set_of(x), set_of(y)))
+    return [(nodes[order[a]], nodes[order[b]]) for a, b in forest.links().tolist()]
 
 
 def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,19 +197,15 @@ def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (node, f1, f2, component, n, text) to (key, node, f1, f2, packed), once for a group of at most CROWD, else once a table."""
-    known: dict[int, np.ndarray] = {}
     for batch in batches:
         names = ("node", "f1", "f2", "component", "n", "text")
         for node, f1, f2, component, n, text in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
             # near-copies agree in most bits, so that a bit halves a shard but half the way
             bits = 0 if n <= CROWD else min(40, math.ceil(2 * math.log2(n / CROWD)))
-            if bits not in known:
-                known[bits] = sampled_bits(bits)
-            keys = table_keys(np.array([[f1, f2]], np.int64), known[bits])[0]
-            mixed = _mixed(keys.view(np.uint64) + _mixed(np.array([component], np.uint64))).view(np.int64) if bits else np.array([component])
-            k = len(mixed)
+            keys = TABLES.keys(bits_of(np.array([[f1, f2]], np.int64)), bits, np.array([component], np.uint64))[0]
+            k = len(keys)
             packed = shingles(text).astype("<u8").tobytes()
-            columns = [pa.array(mixed, pa.int64()), *[pa.array([x] * k, pa.int64()) for x in (node, f1, f2)], pa.array([packed] * k, pa.binary())]
+            columns = [pa.array(keys), *[pa.array([x] * k, pa.int64()) for x in (node, f1, f2)], pa.array([packed] * k, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "node", "f1", "f2", "packed"])
 
 
@@ -233,7 +238,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(x.as_py()) for x in batch.column("text")]
-            words = np.array([wide_fingerprint(s) for s in sets], np.int64).reshape(-1, 2)
+            words = np.array([wide_fingerprint(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
             hashes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
             columns = [batch.column("doc_id"), batch.column("t"), hashes, pa.array(words[:, 0]), pa.array(words[:, 1])]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "h", "f1", "f2"])

@@ -38,6 +38,8 @@ BITS = 64
 SHARD = 2000
 #: Node pairs that are walked at once.
 FRONTIER = 1 << 18
+#: Rows of a matrix of distances.
+BLOCK = 512
 #: Classes that a task joins at a time, rounded up to whole shards.
 CHUNK = 1 << 17
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -99,7 +101,7 @@ def trie_join(
     n = len(values)
     if n < 2:
         return
-    rows = values.reshape(n, -1)
+    words = [np.ascontiguousarray(w) for w in values.reshape(n, -1).T]
     at = np.zeros(1, np.int64) if starts is None else starts
     ends = np.append(at[1:], n)
     tops = [np.stack([at, ends, at, ends, np.zeros_like(at), np.zeros_like(at)], 1)[ends - at > 1]]
@@ -118,20 +120,15 @@ def trie_join(
             continue
         depth = int(pairs[0, 5])
         sizes = pairs[:, 1:4:2] - pairs[:, 0:4:2]
-        last = (sizes <= (leaf if depth < rows.shape[1] * BITS else n)).all(axis=1)
-        for few in _pieces(pairs[last], sizes[last].prod(axis=1)):
-            i, j = _all_pairs(few)
-            i, j = i[i < j], j[i < j]
-            near = np.bitwise_count(rows[i] ^ rows[j]).sum(axis=1) <= most
-            if near.any():
-                yield i[near], j[near]
+        last = (sizes <= (leaf if depth < len(words) * BITS else n)).all(axis=1)
+        yield from _near_pairs(words, pairs[last], most)
         pairs = pairs[~last]
         if not len(pairs):
             continue
         bit = np.uint64(1) << np.uint64(BITS - 1 - depth % BITS)
         a0, a1, b0, b1, d = pairs[:, 0], pairs[:, 1], pairs[:, 2], pairs[:, 3], pairs[:, 4]
         # within a run the bits above are equal, so the run splits where this bit becomes one
-        ones = np.concatenate([[0], np.cumsum((rows[:, depth // BITS] & bit) != 0)])
+        ones = np.concatenate([[0], np.cumsum((words[depth // BITS] & bit) != 0)])
         am, bm = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])
         same = (a0 == b0) & (a1 == b1)
         left = np.stack([a0, am, b0, bm, d], 1)
@@ -144,20 +141,35 @@ def trie_join(
             tops.append(np.column_stack([down, np.full(len(down), depth + 1)]))
 
 
-def _pieces(pairs: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
-    """pairs in runs whose sizes add up to about FRONTIER."""
-    if len(pairs):
-        part = np.cumsum(sizes) // FRONTIER
-        yield from np.split(pairs, np.flatnonzero(part[1:] != part[:-1]) + 1)
-
-
-def _all_pairs(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every position of the first run with every one of the second, for rows (start, end, start, end)."""
-    width = runs[:, 3] - runs[:, 2]
-    count = (runs[:, 1] - runs[:, 0]) * width
-    k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    wide = np.repeat(width, count)
-    return np.repeat(runs[:, 0], count) + k // wide, np.repeat(runs[:, 2], count) + k % wide
+def _near_pairs(words: list[np.ndarray], runs: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i < j) within the budget of every two runs (start, end, start, end, ...)."""
+    single = (runs[:, 1] - runs[:, 0] == 1) & (runs[:, 3] - runs[:, 2] == 1)
+    i, j = runs[single, 0], runs[single, 2]
+    far = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.uint16) for w in words)
+    near = (far <= most) & (i < j)
+    if near.any():
+        yield i[near], j[near]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+    for a0, a1, b0, b1 in runs[~single, :4].tolist():
+        for a in range(a0, a1, BLOCK):  # a block of the matrix of distances at a time
+            end = min(a + BLOCK, a1)
+            far = np.bitwise_count(words[0][a:end, None] ^ words[0][None, b0:b1])
+            for w in words[1:]:
+                far += np.bitwise_count(w[a:end, None] ^ w[None, b0:b1])
+            i, j = np.nonzero(far <= most)
+            if not len(i):
+                continue
+            i, j = i + a, j + b0
+            if a0 == b0:
+                i, j = i[i < j], j[i < j]
+            found.append((i, j))
+            held += len(i)
+            if held > FRONTIER:
+                yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+                found, held = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 class Forest:
@@ -165,7 +177,11 @@ class Forest:
 
     def __init__(self, n: int):
         self.up = np.arange(n)
-        self.links: list[tuple[int, int]] = []
+        self.kept: list[np.ndarray] = []
+
+    def links(self) -> np.ndarray:
+        """Rows (a, b): as many as positions less groups."""
+        return np.concatenate([np.zeros((0, 2), np.int64), *self.kept])
 
     def groups(self) -> np.ndarray:
         """The group of every position: its smallest position."""
@@ -184,18 +200,26 @@ class Forest:
         apart = group[i] != group[j]
         return i[apart], j[apart]
 
-    def join(self, i: np.ndarray, j: np.ndarray, test: Callable[[int, int], bool] | None = None) -> None:
-        """Join the groups of pairs, in order; only of those that pass ``test``, which pairs joined already need not take."""
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Join the groups of pairs: every group goes under one smaller one that it is paired with, until none is apart."""
         i, j = self.open(i, j)
-        if test is None and len(i):  # one link between two groups is enough
-            keys = np.sort(np.stack([self.up[i], self.up[j]]), axis=0)
-            first = np.unique(keys[0] * len(self.up) + keys[1], return_index=True)[1]
-            i, j = i[first], j[first]
-        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+        while len(i):
+            a, b = self.up[i], self.up[j]
+            high, first = np.unique(np.maximum(a, b), return_index=True)
+            self.up[high] = np.minimum(a, b)[first]
+            self.kept.append(np.stack([i[first], j[first]], 1))
+            i, j = self.open(i, j)
+
+    def join_if(self, i: np.ndarray, j: np.ndarray, test: Callable[[int, int], bool]) -> None:
+        """Join the groups of pairs that pass test, in order; those that are joined already need not take it."""
+        made = []
+        for x, y in zip(*(e.tolist() for e in self.open(i, j)), strict=True):
             a, b = self.top(x), self.top(y)
-            if a != b and (test is None or test(x, y)):
+            if a != b and test(x, y):
                 self.up[max(a, b)] = min(a, b)
-                self.links.append((x, y))
+                made.append((x, y))
+        if made:
+            self.kept.append(np.array(made))
 
 
 def _forest_links(keys: np.ndarray, words: np.ndarray, nodes: np.ndarray, most: int, leaf: int) -> np.ndarray:
@@ -206,7 +230,7 @@ def _forest_links(keys: np.ndarray, words: np.ndarray, nodes: np.ndarray, most:
     forest = Forest(len(nodes))
     for i, j in trie_join(words, most, starts, leaf, forest.groups):
         forest.join(i, j)
-    return nodes[np.array(forest.links, np.int64).reshape(-1, 2)]
+    return nodes[forest.links()]
 
 
 def shard_links(most: int = MOST, leaf: int = 1) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
