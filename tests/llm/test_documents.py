@@ -9,6 +9,7 @@ import pytest
 import xxhash
 
 from tether.llm import mixing, quality_classifier, quality_rules, simhash_dedup
+from tether.llm.common import materialize
 from tether.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -51,7 +52,7 @@ def key(x):
 
 def test_quality_rules(spark, rows):
     docs = make(spark, rows)
-    got = quality_rules.quality_rules(docs, min_group=20).collect()
+    got = quality_rules.quality_rules(docs).collect()
     want = sorted(((r[0], *plain_measures(r[1])) for r in rows), key=key)
     assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got), key=key) == want
     for r in got:
@@ -60,12 +61,55 @@ def test_quality_rules(spark, rows):
     assert not any(kept[300 + i] for i in range(15)) and not any(kept[320 + i] for i in range(15))
     clean = [r for r in got if r.doc_id is not None and r.doc_id < 300 and not r.base_failed]
     assert sum(r.kept for r in clean) == len(clean)
-    filtered = quality_rules.keep_good(docs, min_group=20)
+    filtered = quality_rules.keep_good(docs)
     assert filtered.columns == docs.columns
     assert sorted((r.doc_id for r in filtered.collect()), key=key) == sorted((r.doc_id for r in got if r.kept), key=key)
     assert quality_rules.quality_rules(docs.limit(0)).count() == 0 and quality_rules.keep_good(docs.limit(0)).count() == 0
 
 
+def plain_cut(values, spread=14):
+    """The cut-off of one large group of whole-table size, from exact quantiles."""
+    v = sorted(values)
+    q1, q2 = v[-(-len(v) // 4) - 1], v[-(-len(v) * 2 // 4) - 1]
+    return (q2 + 1) * max((q2 + 1) / (q1 + 1), 1 + 1 / 64) ** spread - 1
+
+
+def test_cutoffs_follow_the_data(spark):
+    rng = random.Random(12)
+    word = lambda a, b: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(a, b)))
+    text = lambda a, b, marks: " ".join(word(a, b) + ("," if rng.random() < marks else "") for _ in range(150))
+    rows = [(i, text(2, 8, 0.05), "en", "plain") for i in range(300)]
+    rows += [(1000 + i, text(4, 16, 0.3), "en", "code") for i in range(300)]  # long words and many marks are usual here
+    han = lambda: "\n".join("".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(300)) for _ in range(25))
+    rows += [(2000 + i, han(), "zh", "web") for i in range(300)]
+    rows += [(3000, text(4, 16, 0.3), "en", "plain"), (3001, text(2, 8, 0.05) + " # * # *" * 60, "en", "code"), (3002, text(2, 8, 0.05).upper(), "en", "plain"), (3003, None, "en", "plain")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs).collect()}
+    clean = [i for i in got if i < 3000]
+    assert sum(got[i] for i in clean) >= 0.99 * len(clean) and all(got[2000 + i] for i in range(300))
+    assert not any(got[i] for i in (3000, 3001, 3002, 3003))
+    measured = materialize(quality_rules.measure(docs), "measures")
+    cuts = {(r.lang, r.source): r.cut for r in quality_rules.cutoffs(quality_rules.sketch(measured)).collect()}
+    for m in quality_rules.MEASURES[:3]:
+        assert len({round(c[m.name], 3) for c in cuts.values()}) == 3
+    # the weight of a group's parent falls with the square of its size
+    own = [r.word_length for r in measured.where("lang = 'zh'").collect()]
+    assert cuts["zh", "web"].word_length == pytest.approx(plain_cut(own), rel=0.15)
+    many = quality_rules.sketch(measured.unionByName(measured.limit(0)))
+    parts = quality_rules.sketch(measured.where("doc_id % 2 = 0")).unionByName(quality_rules.sketch(measured.where("doc_id % 2 = 1")))
+    assert {(r.lang, r.source): r.cut for r in quality_rules.cutoffs(parts).collect()} == {(r.lang, r.source): r.cut for r in quality_rules.cutoffs(many).collect()}
+
+
+def test_a_lone_odd_document_is_judged_by_its_language(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    text = lambda end: " ".join(word() + end for _ in range(150))
+    rows = [(i, text(""), "en", "a") for i in range(300)] + [(400, text("###"), "en", "b"), (401, text(""), "en", "c"), (402, text(""), None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs).collect()}
+    assert not got[400] and got[401] and got[402]
+
+
 def plain_fingerprint(text):
     w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     if not w:
