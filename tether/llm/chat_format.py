@@ -5,16 +5,21 @@ is its completion. A completion's mask lists the spans of characters that are tr
 role's turns with their ends. Headers and other roles' turns are masked out. Token masks follow from the spans and a
 tokenizer's offsets.
 
-A pair's turns meet in one row by one shuffle, as its output is one row.
-
-Defined results: turns without a pair are ignored; turns are ordered by number (null first), role and text, repeated
-turns stay; a null role or text counts as empty; a side without turns is null with an empty completion, and its pair
-has no shared turns; two equal conversations are all prompt; an empty table gives an empty result.
+A pair's turns meet in one row by one shuffle, as its output is one row: a pair must fit into a task's memory, as it must fit
+into a row. Pairs share nothing, so a turn that many of them begin with is no hot key.
+
+Defined results: turns without a pair or a side are ignored; turns are ordered by number (null first), role and text, repeated
+turns stay; a null role or text counts as empty; very long turns are rendered whole; where a side of a pair has several
+conversations, they are taken by conv_id (null first) and the first is paired with the other side's first, the second with its
+second and so on, a row each; a side without a conversation left is null with an empty completion, and its row has no shared
+turns; two equal conversations are all prompt; an empty table gives an empty result; other columns, whatever their names, are
+ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby, zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +44,12 @@ def shared(a: list[dict], b: list[dict]) -> int:
     return n
 
 
+def conversations(turns: list[dict]) -> Iterator[tuple[int | None, list[dict]]]:
+    """Each conv_id of the turns (in its order) with its own."""
+    for conv_id, own in groupby(turns, lambda t: t["conv_id"]):
+        yield conv_id, list(own)
+
+
 def complete(turns: list[dict], trained: str = TRAINED) -> tuple[str, list[tuple[int, int]]]:
     """The turns rendered, and the spans [start, end) of characters that are trained on."""
     parts, spans, at = [], [], 0
@@ -59,15 +70,13 @@ SCHEMA = (
 
 
 def format_preferences(turns: DataFrame, trained: str = TRAINED) -> DataFrame:
-    """turns (pair_id, chosen boolean, conv_id, turn, role, text) to one row of SCHEMA a pair."""
-    entry = F.struct("turn", "role", "text")
+    """turns (pair_id, chosen boolean, conv_id, turn, role, text) to one row of SCHEMA a pair of conversations."""
+    entry = F.struct(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     side = lambda yes: F.sort_array(F.collect_list(F.when(F.col("chosen") == yes, entry)))
     pairs = (
         turns.where("pair_id IS NOT NULL AND chosen IS NOT NULL")
         .groupBy(F.col("pair_id").cast("long").alias("pair_id"))
         .agg(
-            F.min(F.when(F.col("chosen"), F.col("conv_id"))).cast("long").alias("chosen_id"),
-            F.min(F.when(~F.col("chosen"), F.col("conv_id"))).cast("long").alias("rejected_id"),
             side(True).alias("a"),
             side(False).alias("b"),
         )
@@ -77,15 +86,15 @@ def format_preferences(turns: DataFrame, trained: str = TRAINED) -> DataFrame:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             out: list[tuple] = []
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-                n = shared(a, b)
-                (chosen, mask_a), (rejected, mask_b) = complete(a[n:], trained), complete(b[n:], trained)
-                spans = [[{"start": s, "end": e} for s, e in m] for m in (mask_a, mask_b)]
-                out.append((n, "".join(map(render, a[:n])), chosen, spans[0], rejected, spans[1]))
-            kinds = [pa.int32(), pa.string(), pa.string(), span, pa.string(), span]
-            made = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
-            names = ["n_shared", "prompt", "chosen", "chosen_mask", "rejected", "rejected_mask"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], ["pair_id", "chosen_id", "rejected_id", *names])
+            for pair, left, right in zip(*(batch.column(c).to_pylist() for c in ("pair_id", "a", "b")), strict=True):
+                for (first, a), (second, b) in zip_longest(conversations(left), conversations(right), fillvalue=(None, [])):
+                    n = shared(a, b)
+                    (chosen, mask_a), (rejected, mask_b) = complete(a[n:], trained), complete(b[n:], trained)
+                    spans = [[{"start": s, "end": e} for s, e in m] for m in (mask_a, mask_b)]
+                    out.append((pair, first, second, n, "".join(map(render, a[:n])), chosen, spans[0], rejected, spans[1]))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), span, pa.string(), span]
+            names = ["pair_id", "chosen_id", "rejected_id", "n_shared", "prompt", "chosen", "chosen_mask", "rejected", "rejected_mask"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
 
     return pairs.mapInArrow(form, SCHEMA)
 

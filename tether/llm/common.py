@@ -2,33 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The white space that separates words; everything else belongs to a word.
-SPACE = r"[\x20\x09-\x0D]"
-
+from ..sources.shared import materialize, scratch, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.conf.get("spark.tether.scratch", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="tether-")
-        spark.conf.set("spark.tether.scratch", named)
-    return named.rstrip("/")
+__all__ = ["SPACE", "materialize", "n_words", "scratch", "shared_dir", "table", "words"]
 
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: The white space that separates words; everything else belongs to a word.
+SPACE = r"[\x20\x09-\x0D]"
 
 
 def words(text: Column) -> Column:

@@ -6,8 +6,9 @@ longest piece left is set, and a subset-sum dynamic programme over bitsets, with
 finds the fullest combination beside it; the combination is used as often as its pieces suffice and removed. Pieces
 then take their places by their rank among those of their length, counted in short windows.
 
-Defined results: a null text counts as empty (only the end id, length 1); null doc_ids and repeated rows are packed
-like others; an empty table gives an empty result; other columns are ignored.
+Defined results: a null text counts as empty (only the end id, length 1); very long texts are cut into pieces, all of which are
+packed; null doc_ids and repeated rows are packed like others; pieces of one length are interchangeable; an empty table gives
+an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from .tokenize import SpacedBpe, encoder
 MODEL = "byte_bpe_50k.json"
 CAPACITY = 2048
 END = 0
-#: Blocks of the pieces of a length, by hash.
-BLOCKS = 256
+#: Pieces of a length that are ranked in one window, about; a length with more has several blocks, by hash.
+BLOCK = 20_000
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[int]:
@@ -142,15 +143,17 @@ class Places:
 
 def place(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """cuts (doc_id, piece, start, length, ...) with sequence_id and offset. cuts is read more than once."""
-    blocked = cuts.withColumn("__block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BLOCKS)).cast("int"))
+    lengths = {r.length: r.n for r in cuts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
+    blocks = {n: -(-c // BLOCK) for n, c in lengths.items() if c > BLOCK} or {0: 1}
+    most = F.coalesce(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv])[F.col("length").cast("int")], F.lit(1))
+    order = ["doc_id", "start", *[c for c in ("piece", "ids_crc32") if c in cuts.columns]]
+    blocked = cuts.withColumn("__block", F.pmod(F.xxhash64(*order), most).cast("int"))
     counted = materialize(blocked.groupBy("length", "__block").agg(F.count("*").alias("n")), "packing-counts")
-    lengths = {r.length: r.n for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     places = cuts.sparkSession.sparkContext.broadcast(Places(plan(lengths, capacity)))
     before = W.partitionBy("length").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     starts = counted.select(
         F.col("length").alias("__l"), F.col("__block").alias("__b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")
     )
-    order = ["doc_id", "start", *[c for c in ("ids_crc32",) if c in cuts.columns]]
     rank = F.row_number().over(W.partitionBy("length", "__block").orderBy(*order)) - 1
     ranked = (
         blocked.withColumn("__rank", rank)

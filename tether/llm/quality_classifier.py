@@ -7,9 +7,11 @@ held-out third, chosen by a hash of doc_id; scoring covers every whole text.
 
 Only the text is an input: label, lang, source and doc_id never are. doc_id only decides who is held out.
 
-Defined results: null and empty texts are scored from their (zero) statistics; a null doc_id is not held out and never
-trains; if a doc_id has several labels the lowest counts, and if it has several texts one of them trains; without
-labels every score is 0.5; repeated rows are scored alike; an empty table gives an empty result.
+Defined results: null and empty texts are scored from their (zero) statistics; very long texts are read whole; a null doc_id
+is not held out and never trains; if a doc_id has several labels the lowest counts, and if it has several texts the one whose
+features come first trains; without labels every score is 0.5; a score of 0.5 counts as label 1; repeated rows are scored
+alike; an empty table gives an empty result; other columns, whatever their names, are ignored by ``score`` and stay as they
+were in ``keep_good``.
 """
 
 from __future__ import annotations

@@ -3,14 +3,15 @@
 Tier one is a broadcast table from frequent word to its number of pieces. It is found by heavy hitters: every task
 counts the words of its texts and reports those with at least ``share`` of them, so at most 1 / share rows a task are
 summed, and the ``table_words`` most frequent are encoded once. Tier two is each worker's bounded cache, where words
-that the table misses are encoded when first met. Both only save time: counts are those of the library.
+that the table misses are encoded when first met; it lives on from task to task. Both only save time: counts are those of the library.
 
-Defined results: a null text counts as empty (0 bytes, 0 tokens); null doc_ids and repeated rows are returned as they
-are; an empty table gives an empty result.
+Defined results: a null text counts as empty (0 bytes, 0 tokens); very long texts are counted whole; null doc_ids and
+repeated rows are returned as they are; an empty table gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .tokenize import WHOLE, PieceCounts
+from .tokenize import WHOLE, PieceCounts, encoder
 
 MODEL = "piece_bpe_32k.model"
 #: Words a task may hold while it counts; beyond, the rarest go, which can only thin out tier one.
@@ -56,11 +57,12 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096, share: float = 5
     words = frequent_words(docs, share, table_words)
     lengths = {w: n for w, n in zip(words, PieceCounts(path).encode_words(words), strict=True) if n != WHOLE}
     tier_one = docs.sparkSession.sparkContext.broadcast(lengths)
+    number = uuid.uuid4().int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceCounts(path, tier_one.value)
+        words = encoder(PieceCounts, path, number, tier_one.value)
         for batch in batches:
-            counts = pa.array(encoder.each(batch.column("text").to_pylist()), pa.int64())
+            counts = pa.array(words.each(batch.column("text").to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), counts], ["doc_id", "n_bytes", "n_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

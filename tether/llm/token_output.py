@@ -5,13 +5,14 @@ blocks of whole documents; a block is a Parquet row with its packed ids, the doc
 part, so Spark's committed writes, any file system and column pruning come for free. ``parts`` gives each part's place
 in the whole. A document is found by its block and offset, and numpy unpacks a block at once.
 
-Defined results: a null text counts as empty and holds only the end id; rows with equal doc_id are ordered by a hash
-of their texts; repeated rows are written as often as they occur; an empty table gives files without rows.
+Defined results: a null text counts as empty and holds only the end id; very long texts are encoded whole, and a block ends
+after them; rows with equal doc_id are ordered by a hash of their texts; repeated rows are written as often as they occur; an
+empty table gives files without rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
-import uuid
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -23,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import shared_dir, table
+from .common import scratch, table
 from .tokenize import BareBpe, encoder
 
 MODEL = "word_bpe_49k.json"
 END = 2
 BLOCK_IDS = 1 << 18
+#: Input bytes a task sorts and encodes at most, about.
+PART_BYTES = 256 << 20
 
 
 def id_bits(vocabulary: int) -> int:
@@ -57,13 +60,19 @@ def unpack(data: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(-1)
 
 
+def input_bytes(docs: DataFrame) -> int:
+    """Size of docs as the optimiser estimates it (of files: their length); 0 where it has no idea."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
 BLOCKS = "part int, block long, start_in_part long, n_ids long, bits int, doc_ids array<{kind}>, lengths array<long>, packed binary"
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, block_ids: int = BLOCK_IDS) -> None:
     """Encode docs (doc_id, text) with a tokenizers file and write their blocks to path."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(input_bytes(docs) / PART_BYTES))
     order = [F.col("doc_id").asc_nulls_first(), F.col("__h"), F.col("__i")]
     ordered = (
         docs.select("doc_id", "text", F.xxhash64("text").alias("__h"), F.monotonically_increasing_id().alias("__i"))
@@ -155,6 +164,6 @@ def fetch(spark: SparkSession, path: str, start: int, n: int) -> np.ndarray:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/token-blocks-{uuid.uuid4().hex}"
+    path = scratch(spark, "token-blocks")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(MODEL))
     return read_documents(spark, path)

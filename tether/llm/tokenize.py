@@ -255,8 +255,8 @@ class PieceCounts(_Words):
 _made: dict = {}
 
 
-def encoder(kind: type, path: str) -> _Words:
-    """This worker's encoder of a file; its cache lives on between tasks."""
-    if (kind, path) not in _made:
-        _made[kind, path] = kind(path)
-    return _made[kind, path]
+def encoder(kind: type, path: str, number: int = 0, *start) -> _Words:
+    """This worker's encoder of a file; its cache lives on between tasks. number: that of start, a broadcast table; one is held."""
+    if _made.get((kind, path), (None,))[0] != number:
+        _made[kind, path] = number, kind(path, *start)
+    return _made[kind, path][1]
