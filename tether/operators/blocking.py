@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-#: Order in which passes win when they find the same pair; unknown ones come last.
-PRIORITY = {"exact_id": 0, "state_zip": 1, "state_city": 2, "state_lastkey": 3, "canopy": 4, "lsh": 5, "sorted_neighborhood": 6}
+#: Rank of each pass, of which the lowest wins when several find a pair; unknown ones come last.
+PRIORITY = {"exact_id": 0, "state_zip": 1, "state_city": 2, "state_lastkey": 2, "sorted_neighborhood": 3, "canopy": 4, "lsh": 5}
 
 
 def _pairs(joined: DataFrame, name: str, key: Column | None = None) -> DataFrame:
@@ -56,7 +56,7 @@ def neighbourhood(left: DataFrame, right: DataFrame, left_id: str, right_id: str
 
 
 def token_overlaps(left: DataFrame, right: DataFrame, least: float = 0.0) -> DataFrame:
-    """left_id, right_id, sim: Jaccard of all pairs of (id, state, tokens) rows in a state that share a token and reach ``least``.
+    """left_id, right_id, state, sim: Jaccard of all pairs of (id, state, tokens) rows in a state that share a token and reach ``least``.
 
     An equi-join on (state, token) over prefixes: with tokens in order of rarity, two sets of similarity ``least`` share
     one of the first n - ceil(least * n) + 1 tokens of either, so the frequent tokens, which would pair everything with
@@ -75,7 +75,7 @@ def token_overlaps(left: DataFrame, right: DataFrame, least: float = 0.0) -> Dat
     met = side(left, "left").join(side(right, "right"), ["state", "token"])
     both = F.size(F.array_intersect("left_tokens", "right_tokens"))
     sim = both / (F.size("left_tokens") + F.size("right_tokens") - both)
-    near = met.select("left_id", "right_id", sim.alias("sim")).where((F.col("sim") >= least) & (F.col("sim") > 0))
+    near = met.select("left_id", "right_id", "state", sim.alias("sim")).where((F.col("sim") >= least) & (F.col("sim") > 0))
     return near.distinct()
 
 
@@ -83,19 +83,19 @@ def canopy(left: DataFrame, right: DataFrame, loose: float = 0.6, tight: float =
     """Pairs of (id, state, tokens) tables by token overlap in a state.
 
     Pairs from ``loose`` up; a left row with pairs from ``tight`` up keeps those only; at most ``most`` for a left row,
-    the most similar first, ties by right id. Rows with a blank state or without tokens have none.
+    the most similar first, ties by right id. Rows with a blank state or without tokens have none. The block key is the state.
     """
     usable = lambda df: df.where((F.coalesce(F.col("state"), F.lit("")) != "") & (F.size("tokens") > 0))
     near = token_overlaps(usable(left), usable(right), loose)
     own = W.partitionBy("left_id")
     best = near.withColumn("best", F.max("sim").over(own)).where((F.col("best") < tight) | (F.col("sim") >= tight))
     ranked = best.withColumn("r", F.row_number().over(own.orderBy(F.desc("sim"), "right_id"))).where(F.col("r") <= most)
-    return _pairs(ranked, "canopy")
+    return _pairs(ranked, "canopy", F.col("state"))
 
 
 def canopy_scores(left: DataFrame, right: DataFrame, threshold: float = 0.6) -> DataFrame:
     """left_id, right_id, sim from ``threshold`` up, uncapped; blank states match, and so do two empty token lists."""
-    near = token_overlaps(left, right, threshold)
+    near = token_overlaps(left, right, threshold).drop("state")
     bare = lambda df, s: df.where(F.size("tokens") == 0).select(F.col("id").alias(f"{s}_id"), "state")
     both_empty = bare(left, "left").join(bare(right, "right"), "state").select("left_id", "right_id", F.lit(1.0).alias("sim"))
     return near.unionByName(both_empty)
@@ -135,17 +135,20 @@ def lsh_buckets(df: DataFrame, perms: int = 64, bands: int = 8) -> DataFrame:
 
 
 def lsh_pairs(left: DataFrame, right: DataFrame, perms: int = 64, bands: int = 8, crowded: int = 5000, first: int = 200) -> DataFrame:
-    """Pairs that share a bucket in a state. Buckets with over ``crowded`` rows on a side have none; of the right side the first ids only."""
+    """Pairs that share a bucket in a state. Buckets with over ``crowded`` rows on a side have none; of the right side the first ids only.
+
+    The block key is the state; rows with a blank one have no pairs.
+    """
     keys = ["state", "band", "bucket"]
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        cells = lsh_buckets(df, perms, bands)
+        cells = lsh_buckets(df.where(F.coalesce("state", F.lit("")) != ""), perms, bands)
         fair = cells.groupBy(keys).agg(F.count("*").alias("n")).where(F.col("n") <= crowded).select(keys)
         return cells.join(fair, keys, "left_semi").withColumnRenamed("id", f"{name}_id")
 
     rank = F.row_number().over(W.partitionBy(*keys).orderBy("right_id"))
     near = side(right, "right").withColumn("r", rank).where(F.col("r") <= first).drop("r")
-    return _pairs(side(left, "left").join(near, keys).select("left_id", "right_id").distinct(), "lsh")
+    return _pairs(side(left, "left").join(near, keys).select("left_id", "right_id", "state").distinct(), "lsh", F.col("state"))
 
 
 def dedupe(pairs: DataFrame, priority: dict[str, int] | None = None) -> DataFrame:
@@ -156,20 +159,20 @@ def dedupe(pairs: DataFrame, priority: dict[str, int] | None = None) -> DataFram
     return pairs.groupBy("left_id", "right_id").agg(best.alias("b")).select("left_id", "right_id", "b.pass", "b.block_key")
 
 
-def recall_report(pairs: DataFrame, gold: DataFrame, name: str) -> DataFrame:
-    """Of a pass: pairs, distinct ids of both sides, gold pairs found, recall, and pairs for each gold pair found."""
-    own = pairs.select("left_id", "right_id").distinct()
-    hit = own.join(gold.select("left_id", "right_id", F.lit(1).alias("hit")).distinct(), ["left_id", "right_id"], "left")
-    found = hit.agg(
+def recall_report(pairs: DataFrame, gold: DataFrame) -> DataFrame:
+    """For each pass of pairs, and for all of them together: pairs, distinct ids of both sides, gold pairs found, recall, and pairs for each gold pair found."""
+    own = pairs.select("left_id", "right_id", F.explode(F.array("pass", F.lit("all"))).alias("pass")).distinct()
+    known = gold.select("left_id", "right_id", F.lit(1).alias("hit")).distinct()
+    found = own.join(known, ["left_id", "right_id"], "left").groupBy("pass").agg(
         F.count("*").alias("n_pairs"),
         F.count_distinct("left_id").alias("n_left"),
         F.count_distinct("right_id").alias("n_right"),
         F.count("hit").alias("gold_hits"),
     )
-    size = gold.select("left_id", "right_id").distinct().agg(F.count("*").alias("gold"))
-    # two single rows
+    size = known.agg(F.count("*").alias("gold"))
+    # a row for each pass, and a single row
     return found.crossJoin(F.broadcast(size)).select(
-        F.lit(name).alias("pass"),
+        "pass",
         "n_pairs",
         "n_left",
         "n_right",

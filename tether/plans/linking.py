@@ -271,9 +271,13 @@ def _(spark, d):
 # ---- candidate generation
 
 
+def exact(spark, d):
+    return blocking.exact_id(left(spark, d), right(spark, d), "profile_id", "npi", "npi")
+
+
 @R.add("blk_1", f"SELECT DISTINCT profile_id AS left_id, r.npi AS right_id, 'exact_id' AS pass, NULL::VARCHAR AS block_key FROM ({LEFT}) l JOIN ({RIGHT}) r ON l.npi = r.npi")
 def _(spark, d):
-    return blocking.exact_id(left(spark, d), right(spark, d), "profile_id", "npi", "npi")
+    return exact(spark, d)
 
 
 def _capped_sql(key: str, rkey: str, name: str, cap: int) -> str:
@@ -284,13 +288,13 @@ def _capped_sql(key: str, rkey: str, name: str, cap: int) -> str:
 
 
 _SZ = "coalesce(state, '') || '|' || coalesce(zip5, '')"
-STATE_ZIP = _capped_sql(_SZ, _SZ, "state_zip", 10)
+STATE_ZIP = _capped_sql(_SZ, _SZ, "state_zip", 500)
 
 
 @R.add("blk_2a", STATE_ZIP)
 def blk_2a(spark, d):
     key = T.block_key(F.col("state"), F.col("zip5"))
-    return blocking.capped_block(left(spark, d), right(spark, d), "profile_id", "npi", key, key, "state_zip", 10)
+    return blocking.capped_block(left(spark, d), right(spark, d), "profile_id", "npi", key, key, "state_zip", 500)
 
 
 STATE_CITY = f"""SELECT profile_id AS left_id, r.npi AS right_id, 'state_city' AS pass, l.state || '|' || l.city AS block_key
@@ -304,33 +308,33 @@ def blk_2b(spark, d):
     return blocking.capped_block(bare(left(spark, d)), bare(right(spark, d)), "profile_id", "npi", key, key, "state_city", None)
 
 
-STATE_LAST = _capped_sql(f"state || '|' || {_lastkey.format('last_name')}", f"state || '|' || {_lastkey.format('last_or_org_name')}", "state_lastkey", 30)
+STATE_LAST = _capped_sql(f"state || '|' || {_lastkey.format('last_name')}", f"state || '|' || {_lastkey.format('last_or_org_name')}", "state_lastkey", 2000)
 
 
 @R.add("blk_2c", STATE_LAST)
 def blk_2c(spark, d):
     keys = [T.block_key(F.col("state"), T.last_key(F.col(c))) for c in ("last_name", "last_or_org_name")]
-    return blocking.capped_block(left(spark, d), right(spark, d), "profile_id", "npi", *keys, "state_lastkey", 30)
+    return blocking.capped_block(left(spark, d), right(spark, d), "profile_id", "npi", *keys, "state_lastkey", 2000)
 
 
 _NEAR = lambda last: f"state || '|' || {_lastkey.format(last)} || '|' || {_initial}"
 NEIGHBOURS = f"""SELECT l.profile_id AS left_id, r.npi AS right_id, 'sorted_neighborhood' AS pass, l.k AS block_key FROM (SELECT *, {_NEAR('last_name')} AS k FROM ({LEFT}) t) l
- JOIN (SELECT npi, k, row_number() OVER (PARTITION BY k ORDER BY npi) AS n FROM (SELECT *, {_NEAR('last_or_org_name')} AS k FROM ({RIGHT}) t) u) r ON l.k = r.k WHERE n <= 5"""
+ JOIN (SELECT npi, k, row_number() OVER (PARTITION BY k ORDER BY npi) AS n FROM (SELECT *, {_NEAR('last_or_org_name')} AS k FROM ({RIGHT}) t) u) r ON l.k = r.k WHERE n <= 50"""
 
 
 @R.add("blk_3", NEIGHBOURS)
 def blk_3(spark, d):
     keys = [T.block_key(F.col("state"), T.last_key(F.col(c)), T.first_initial(F.col("first_name"))) for c in ("last_name", "last_or_org_name")]
-    return blocking.neighbourhood(left(spark, d), right(spark, d), "profile_id", "npi", *keys, window=5)
+    return blocking.neighbourhood(left(spark, d), right(spark, d), "profile_id", "npi", *keys, window=50)
 
 
-CANOPY = f"""SELECT left_id, right_id, 'canopy' AS pass, NULL::VARCHAR AS block_key FROM (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY sim DESC, right_id) AS n FROM
- (SELECT *, max(sim) OVER (PARTITION BY left_id) AS best FROM ({JACCARD_SQL}) j WHERE sim >= 0.6) m WHERE best < 0.8 OR sim >= 0.8) t WHERE n <= 10"""
+CANOPY = f"""SELECT left_id, right_id, 'canopy' AS pass, state AS block_key FROM (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY sim DESC, right_id) AS n FROM
+ (SELECT *, max(sim) OVER (PARTITION BY left_id) AS best FROM ({JACCARD_SQL}) j WHERE sim >= 0.6) m WHERE best < 0.8 OR sim >= 0.8) t WHERE n <= 200"""
 
 
 @R.add("blk_4", CANOPY)
 def blk_4(spark, d):
-    return blocking.canopy(*token_sides(spark, d), most=10)
+    return blocking.canopy(*token_sides(spark, d))
 
 
 @R.add("blk_4h", f"SELECT left_id, right_id, round(sim, 9) AS sim FROM ({JACCARD_SQL}) t WHERE sim >= 0.5")
@@ -350,13 +354,13 @@ def _cells_sql(rows: str) -> str:
 
 LSH = f"""WITH l AS (SELECT *, count(*) OVER (PARTITION BY state, band, bucket) AS n FROM ({_cells_sql(LEFT_TOKENS)}) x),
  r AS (SELECT *, count(*) OVER (PARTITION BY state, band, bucket) AS n, row_number() OVER (PARTITION BY state, band, bucket ORDER BY id) AS k FROM ({_cells_sql(RIGHT_TOKENS)}) x)
- SELECT DISTINCT l.id AS left_id, r.id AS right_id, 'lsh' AS pass, NULL::VARCHAR AS block_key FROM l JOIN r ON l.state = r.state AND l.band = r.band AND l.bucket = r.bucket
- WHERE l.n <= 5000 AND r.n <= 5000 AND k <= 20"""
+ SELECT DISTINCT l.id AS left_id, r.id AS right_id, 'lsh' AS pass, l.state AS block_key FROM l JOIN r ON l.state = r.state AND l.band = r.band AND l.bucket = r.bucket
+ WHERE l.n <= 5000 AND r.n <= 5000 AND k <= 200"""
 
 
 @R.add("blk_5", LSH)
 def blk_5(spark, d):
-    return blocking.lsh_pairs(*token_sides(spark, d), first=20)
+    return blocking.lsh_pairs(*token_sides(spark, d))
 
 
 @R.add("jn_10", f"SELECT left_id, right_id FROM ({LSH}) t")
@@ -365,48 +369,51 @@ def _(spark, d):
 
 
 _EXACT = f"SELECT profile_id AS left_id, r.npi AS right_id, 'exact_id' AS pass, NULL::VARCHAR AS block_key FROM ({LEFT}) l JOIN ({RIGHT}) r ON l.npi = r.npi"
-_RANKS = " ".join(f"WHEN '{k}' THEN {v}" for k, v in blocking.PRIORITY.items())
-UNION_SQL = " UNION ALL ".join(f"SELECT * FROM ({q}) q{i}" for i, q in enumerate((_EXACT, STATE_ZIP, STATE_CITY, STATE_LAST, CANOPY, NEIGHBOURS)))
+# ranks of the survey (BLK-6), stated here once more so that the operator's are checked
+_RANKS = """WHEN 'exact_id' THEN 0 WHEN 'state_zip' THEN 1 WHEN 'state_city' THEN 2 WHEN 'state_lastkey' THEN 2
+ WHEN 'sorted_neighborhood' THEN 3 WHEN 'canopy' THEN 4 WHEN 'lsh' THEN 5"""
+UNION_SQL = " UNION ALL ".join(f"SELECT * FROM ({q}) q{i}" for i, q in enumerate((_EXACT, STATE_ZIP, STATE_CITY, STATE_LAST, CANOPY, LSH, NEIGHBOURS)))
 DEDUPED = f"""SELECT left_id, right_id, pass, block_key FROM (SELECT *, row_number() OVER (PARTITION BY left_id, right_id
  ORDER BY CASE pass {_RANKS} ELSE 99 END, block_key NULLS FIRST, pass) AS n FROM ({UNION_SQL}) u) t WHERE n = 1"""
 
 
 def all_candidates(spark, d):
-    exact = blocking.exact_id(left(spark, d), right(spark, d), "profile_id", "npi", "npi")
-    out = exact
-    for f in (blk_2a, blk_2b, blk_2c, blk_4, blk_3):
+    """The pairs of every pass."""
+    out = exact(spark, d)
+    for f in (blk_2a, blk_2b, blk_2c, blk_3, blk_4, blk_5):
         out = out.unionByName(f(spark, d))
-    return blocking.dedupe(out)
+    return out
 
 
 @R.add("blk_6", DEDUPED)
 def blk_6(spark, d):
-    return all_candidates(spark, d)
+    return blocking.dedupe(all_candidates(spark, d))
 
 
-@R.add("agg_22", f"""WITH p AS (SELECT DISTINCT left_id, right_id FROM ({DEDUPED}) t), g AS (SELECT left_id, right_id FROM ({_EXACT}) t),
+@R.add("agg_22", f"""WITH u AS (SELECT left_id, right_id, pass FROM ({UNION_SQL}) t),
+ p AS (SELECT DISTINCT * FROM (SELECT * FROM u UNION ALL SELECT left_id, right_id, 'all' FROM u) t), g AS (SELECT DISTINCT left_id, right_id FROM ({_EXACT}) t),
  h AS (SELECT p.*, g.left_id IS NOT NULL AS hit FROM p LEFT JOIN g ON p.left_id = g.left_id AND p.right_id = g.right_id)
- SELECT 'all' AS pass, count(*) AS n_pairs, count(DISTINCT left_id) AS n_left, count(DISTINCT right_id) AS n_right, count(*) FILTER (WHERE hit) AS gold_hits,
- round(count(*) FILTER (WHERE hit) / nullif((SELECT count(*) FROM g), 0)::DOUBLE, 9) AS recall, round(count(*) / nullif(count(*) FILTER (WHERE hit), 0)::DOUBLE, 9) AS pairs_per_hit FROM h""")
+ SELECT pass, count(*) AS n_pairs, count(DISTINCT left_id) AS n_left, count(DISTINCT right_id) AS n_right, count(*) FILTER (WHERE hit) AS gold_hits,
+ round(count(*) FILTER (WHERE hit) / nullif((SELECT count(*) FROM g), 0)::DOUBLE, 9) AS recall, round(count(*) / nullif(count(*) FILTER (WHERE hit), 0)::DOUBLE, 9) AS pairs_per_hit
+ FROM h GROUP BY pass""")
 def _(spark, d):
-    gold = blocking.exact_id(left(spark, d), right(spark, d), "profile_id", "npi", "npi")
-    report = blocking.recall_report(all_candidates(spark, d), gold, "all")
+    report = blocking.recall_report(all_candidates(spark, d), exact(spark, d))
     return report.withColumns({c: F.round(c, 9) for c in ("recall", "pairs_per_hit")})
 
 
-QUERIES_SQL = f"SELECT profile_id AS query_id, CASE WHEN n_years = 1 THEN 'NOWHERE' ELSE state END AS state, CASE WHEN n_years % 3 = 0 THEN '99' ELSE zip5 END AS zip5 FROM ({LEFT}) t WHERE n_years < 6"
+QUERIES_SQL = f"SELECT profile_id AS query_id, CASE WHEN n_years = 1 THEN 'NOWHERE' ELSE state END AS state, CASE WHEN n_years % 3 = 0 THEN '99' ELSE zip5 END AS zip5 FROM ({LEFT}) t"
 
 
 @R.add("blk_7", f"""WITH q AS (SELECT query_id, {norm_sql('state')} AS state, CASE WHEN length(zip5) >= 3 THEN substr(zip5, 1, 3) END AS z FROM ({QUERIES_SQL}) t),
  p AS (SELECT npi AS id, {norm_sql('state')} AS state, CASE WHEN length(zip5) >= 3 THEN substr(zip5, 1, 3) END AS z FROM ({RIGHT}) t),
  a AS (SELECT query_id, id, 1 AS tier FROM q JOIN p ON q.state = p.state AND q.z = p.z),
  b AS (SELECT query_id, id, 2 AS tier FROM q JOIN (SELECT *, row_number() OVER (PARTITION BY state ORDER BY id) AS n FROM p) p ON q.state = p.state
-   WHERE n <= 20 AND query_id NOT IN (SELECT query_id FROM a)),
- c AS (SELECT query_id, id, 3 AS tier FROM q, (SELECT id FROM p ORDER BY id LIMIT 20) p WHERE query_id NOT IN (SELECT query_id FROM a) AND query_id NOT IN (SELECT query_id FROM b))
+   WHERE n <= 1000 AND query_id NOT IN (SELECT query_id FROM a)),
+ c AS (SELECT query_id, id, 3 AS tier FROM q, (SELECT id FROM p ORDER BY id LIMIT 1000) p WHERE query_id NOT IN (SELECT query_id FROM a) AND query_id NOT IN (SELECT query_id FROM b))
  SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c""")
 def _(spark, d):
     providers = right(spark, d).select(F.col("npi").alias("id"), "state", "zip5")
-    return blocking.tiered_block(roles.role(spark, d, QUERIES_SQL), providers, most=20)
+    return blocking.tiered_block(roles.role(spark, d, QUERIES_SQL), providers)
 
 
 # ---- entity resolution and aggregates

@@ -326,10 +326,9 @@ def _(spark, d):
     return o.join(learning.sample_rows(o.select("o_orderkey"), 100, "o_orderkey"), "o_orderkey")
 
 
-_TOKENS = "[lower(first_name), lower({last}), lower(state), lower(p_brand)]"
 _SIDE = lambda rows, key, last: f"SELECT {key} AS id, state, list_distinct(list_filter(list_transform(string_split(upper(first_name || ' ' || {last} || ' ' || state || ' ' || p_brand), ' '), lambda x: regexp_replace(x, '[^A-Z0-9]', '', 'g')), lambda x: x <> '')) AS tokens FROM ({rows}) t"
 LEFT_TOKENS, RIGHT_TOKENS = _SIDE(roles.LEFT, "profile_id", "last_name"), _SIDE(roles.RIGHT, "npi", "last_or_org_name")
-JACCARD_SQL = f"""SELECT l.id AS left_id, r.id AS right_id,
+JACCARD_SQL = f"""SELECT l.id AS left_id, r.id AS right_id, l.state AS state,
   len(list_intersect(l.tokens, r.tokens)) / (len(l.tokens) + len(r.tokens) - len(list_intersect(l.tokens, r.tokens))) AS sim
   FROM ({LEFT_TOKENS}) l JOIN ({RIGHT_TOKENS}) r ON l.state = r.state"""
 
