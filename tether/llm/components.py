@@ -29,7 +29,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         moved = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b"))
         )
-    return moved.where("a > b").distinct()
+    return moved.where("a > b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -38,10 +38,10 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "links"
     )
     while True:
-        moved = materialize(_star(_star(edges, True), False), "links")
+        moved = materialize(_star(_star(edges, True), False).distinct(), "links")
         # stars: no node is both a centre and a leaf, and no leaf has two centres
-        uneven = moved.select("a").intersect(moved.select("b")).limit(1).count()
-        if not uneven and moved.groupBy("a").count().where("count > 1").limit(1).count() == 0:
+        ends = moved.select(F.col("a").alias("node"), F.lit(1).alias("leaf")).union(moved.select("b", F.lit(0)))
+        if not ends.groupBy("node").agg(F.sum("leaf").alias("up"), F.min("leaf").alias("centre")).where("up > 1 OR (up = 1 AND centre = 0)").head(1):
             break
         edges = moved
     centres = moved.select(F.col("b").alias("node")).distinct()

@@ -102,7 +102,7 @@ class Machine:
         """Feature numbers and values: word counts at length one, scaled statistics."""
         words = counts / max(1e-9, float(np.sqrt((counts * counts).sum())))
         scaled = np.clip((statistics - self.centre) / self.spread, -6, 6) * 0.5
-        return np.concatenate([slots, np.arange(SLOTS, SLOTS + len(scaled))]), np.concatenate([words, scaled])
+        return np.concatenate([slots, np.arange(SLOTS, SLOTS + len(scaled))]).astype(np.int32), np.concatenate([words, scaled])
 
     def score(self, at: np.ndarray, x: np.ndarray) -> float:
         """Probability of label 1."""
@@ -177,14 +177,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     kind = docs.schema["doc_id"].dataType.simpleString()
     known = docs.select("doc_id", "text").join(F.broadcast(chosen.withColumn("quality", F.col("quality").cast("int"))), "doc_id")
     found = known.select("doc_id", "text", "quality").mapInArrow(extract, f"doc_id {kind}, quality int, n int, packed binary")
-    rows = found.groupBy("doc_id").agg(F.min(F.struct("quality", "n", "packed")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").collect()
+    rows = found.groupBy("doc_id").agg(F.min(F.struct("quality", "n", "packed")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").toArrow()
     unpacked = []
-    for r in rows:
-        data, n = bytes(r.packed), r.n
-        unpacked.append(
-            (np.frombuffer(data, "<u2", n).astype(np.int64), np.frombuffer(data, "<f4", n, 2 * n), np.frombuffer(data, "<f4", -1, 6 * n))
-        )
-    return train(unpacked, np.array([r.quality for r in rows], np.float32))
+    for n, packed in zip(rows.column("n").to_pylist(), rows.column("packed"), strict=True):
+        data = packed.as_buffer()  # views of what came from Arrow
+        unpacked.append((np.frombuffer(data, "<u2", n), np.frombuffer(data, "<f4", n, 2 * n), np.frombuffer(data, "<f4", -1, 6 * n)))
+    return train(unpacked, rows.column("quality").to_numpy().astype(np.float32))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
