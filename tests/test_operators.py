@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,9 +44,24 @@ def test_ranking_measures(spark):
     assert met == {0.9: (0.9, True), 1.1: (0.8, False)}
 
 
-def test_bootstrap_weights_have_mean_one(spark):
-    df = spark.range(20000).select(evaluate.bucket_weight(F.col("id"), F.lit(1)).alias("w")).agg(F.avg("w").alias("m"), F.variance("w").alias("v")).first()
-    assert df.m == pytest.approx(1, abs=0.03) and df.v == pytest.approx(1, abs=0.06)
+def test_bootstrap_draws_have_mean_one():
+    w = np.array([evaluate.draws(str(g), 50, 42) for g in range(400)])
+    assert abs(w.mean() - 1) < 0.03 and abs(w.var() - 1) < 0.05 and (w == [evaluate.draws(str(g), 50, 42) for g in range(400)]).all()
+
+
+def test_bootstrap_equals_plain_sums(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"g{rng.integers(12)}", int(rng.integers(2)), float(rng.integers(40)) / 40, float(rng.integers(40)) / 40) for _ in range(300)] + [(None, 1, 0.975, 0.1)]
+    df = spark.createDataFrame(rows, "g string, y int, score double, other double")
+    got = {(r.replicate, r.model): r for r in evaluate.bootstrap_metrics(df.repartition(5), "g", 3, scores=("score", "other"), threshold=0.5).collect()}
+    assert len(got) == 6
+    for (k, model), r in got.items():
+        w = np.array([evaluate.draws(x[0] or "", 3, 42)[k] for x in rows])
+        y, s = np.array([x[1] for x in rows]), np.array([x[2 if model == "score" else 3] for x in rows])
+        tp, fp, fn = (w * (y == 1) * (s >= 0.5)).sum(), (w * (y == 0) * (s >= 0.5)).sum(), (w * (y == 1) * (s < 0.5)).sum()
+        assert (r.precision, r.recall) == pytest.approx((tp / (tp + fp), tp / (tp + fn)))
+        ap = sum((w * (y == 1) * (s == t)).sum() * (w * (y == 1) * (s >= t)).sum() / max(1, (w * (s >= t)).sum()) for t in set(s.tolist())) / (w * y).sum()
+        assert r.pr_auc == pytest.approx(ap)
 
 
 def test_two_sample_test_and_chi_square(spark):
@@ -134,4 +150,14 @@ def test_training_set_query_keeps_more_than_2000_negatives(spark, monkeypatch):
     )
     monkeypatch.setattr(analysis, "labelled", lambda *_: rows)
     drawn = analysis.R.queries["smp_2"](spark, "").groupBy("origin").count().collect()
-    assert {r.origin: r["count"] for r in drawn} == {"positive": 300, "random": 3000}
+    assert {r.origin: r["count"] for r in drawn} == {"positive": 300, "random": 1500}  # no hard ones: their half stays open
+
+
+def test_training_set_sizes(spark):
+    rows = spark.range(5000).selectExpr(
+        "id", "CAST(id < 100 AS INT) AS y", "CASE WHEN id % 10 = 0 THEN 0.95D ELSE 0.1D END AS sim_jw_lastname", "0.5D AS sim_jw_fullname", "CAST(id % 4 = 1 AS INT) AS org_vs_person_conflict"
+    )
+    sizes = lambda **k: {r.origin: r["count"] for r in learning.training_set(rows, "id", **k).groupBy("origin").count().collect()}
+    assert sizes() == {"positive": 100, "hard": 490, "random": 500, "org_person": 1000}  # 490 hard ones there are
+    assert sizes(cap=300) == {"positive": 100, "hard": 100, "random": 100, "org_person": 200}
+    assert sizes(cap=50) == {"positive": 100}

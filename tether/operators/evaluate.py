@@ -6,6 +6,12 @@ within score ranges and over the ranges.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -112,29 +118,65 @@ def threshold_sensitivity(df: DataFrame, low: float = 0.05, high: float = 0.99,
     return confusion(summed.crossJoin(F.broadcast(spots)), F.col("threshold"), ["threshold"], F.col("n"))
 
 
-def bucket_weight(group: Column, replicate: Column, seed: int = 42) -> Column:
-    """How often a group is drawn in a replicate: Poisson(1) from a hash, so replicates need no shuffle and reruns agree."""
-    u = F.conv(F.substring(F.md5(F.concat_ws("|", group.cast("string"), replicate.cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("double") / 4294967296.0
-    # fixed values: distribution function of Poisson(1) at 0 to 6
-    steps = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.999916758850712]
-    out = F.lit(0)
-    for s in steps:
-        out = out + (u >= s).cast("int")
-    return out
+#: Distribution function of Poisson(1) at 0 to 6.
+POISSON = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.999916758850712]
 
 
-def bootstrap_metrics(df: DataFrame, groups: str, replicates: int, seed: int = 42, scores: tuple[str, ...] = ("score",)) -> DataFrame:
-    """replicate, model, pr_auc, roc_auc with whole groups drawn anew.
+def bootstrap_metrics(df: DataFrame, groups: str, replicates: int, seed: int = 42, scores: tuple[str, ...] = ("score",), threshold: float | None = None) -> DataFrame:
+    """replicate, model, pr_auc, roc_auc with whole groups drawn anew, and with a threshold also precision, recall and f1 there.
 
-    Rows are summed per (group, score, y) first; only those sums meet the replicates, weighted by the group's draws.
+    Rows are summed per group and bin (RANGES of the score, each side of the threshold apart). Every task adds up its groups'
+    draws in an array of all replicates for each bin; only these arrays, as many as there are bins, are dealt out and added.
     """
-    draws = df.sparkSession.range(replicates).select(F.col("id").cast("int").alias("replicate"))
     models = F.explode(F.array(*[F.struct(F.lit(s).alias("model"), F.col(s).alias("score")) for s in scores]))
-    summed = df.select(groups, "y", models.alias("m")).groupBy(groups, "y", "m.model", "m.score").agg(F.count("*").alias("n"))
-    drawn = summed.crossJoin(F.broadcast(draws)).withColumn("w", bucket_weight(F.col(groups), F.col("replicate"), seed) * F.col("n"))
-    drawn = drawn.where("w > 0").groupBy("replicate", "model", "score", "y").agg(F.sum("w").alias("w"))
+    hit = F.coalesce(F.col("m.score") >= threshold, F.lit(False)) if threshold is not None else F.lit(False)
+    binned = df.select(F.col(groups).cast("string").alias("g"), "y", models.alias("m")).select(
+        "g", "m.model", F.col("y").cast("int").alias("y"), F.floor(F.col("m.score") * RANGES).cast("int").alias("bin"), hit.alias("hit")
+    )
+    summed = binned.repartition("g").groupBy("g", "model", "y", "bin", "hit").agg(F.count("*").alias("n"))
+    kind = "model string, y int, bin int, hit boolean, w array<long>"
+    drawn = summed.sortWithinPartitions("g").mapInArrow(partial(_drawn, replicates=replicates, seed=seed), kind)
+    whole = drawn.groupBy("model", "y", "bin", "hit").applyInArrow(_added, kind)
+    rows = whole.select(F.posexplode("w").alias("replicate", "w"), "model", "y", "hit", (F.col("bin") / F.lit(float(RANGES))).alias("score")).where("w > 0")
     by = ["replicate", "model"]
-    return average_precision(drawn, by, F.col("w")).join(roc_auc(drawn, by, F.col("w")), by)
+    out = average_precision(rows, by, F.col("w")).join(roc_auc(rows, by, F.col("w")), by)
+    if threshold is not None:
+        sides = confusion(rows.withColumn("score", F.col("hit").cast("double")), 0.5, by, F.col("w"))
+        out = out.join(sides.select(*by, "precision", "recall", "f1"), by)
+    return out
+
+
+def draws(group: str, replicates: int, seed: int) -> np.ndarray:
+    """How often a group is drawn in each replicate: Poisson(1) from a hash, so reruns agree."""
+    digits = [hashlib.md5(f"{group}|{r}|{seed}".encode()).hexdigest()[:8] for r in range(replicates)]
+    return np.searchsorted(POISSON, np.array([int(x, 16) for x in digits]) / 4294967296.0, side="right")
+
+
+def _drawn(batches: Iterator[pa.RecordBatch], replicates: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """Rows (g, model, y, bin, hit, n) in the order of g to sums of n times the draws of g, one for each bin."""
+    sums: dict[tuple, np.ndarray] = {}
+    last, times = ..., np.zeros(replicates, np.int64)
+    for batch in batches:
+        for g, *key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if g != last:
+                last, times = g, draws(g or "", replicates, seed)
+            if tuple(key) not in sums:
+                sums[tuple(key)] = np.zeros(replicates, np.int64)
+            sums[tuple(key)] += n * times
+    yield _sums(sums)
+
+
+def _sums(sums: dict[tuple, np.ndarray]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_())
+    keys = [pa.array([k[i] for k in sums], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays([*keys, pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], ["model", "y", "bin", "hit", "w"])
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    """The sum of one bin's arrays."""
+    key = tuple(rows.column(c)[0].as_py() for c in ("model", "y", "bin", "hit"))
+    w = rows.column("w").combine_chunks()
+    return pa.Table.from_batches([_sums({key: w.flatten().to_numpy().reshape(len(w), -1).sum(axis=0)})])
 
 
 def interval(values: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
