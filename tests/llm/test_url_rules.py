@@ -48,7 +48,7 @@ def test_long_repeated_queries_are_one_item(spark):
     query = "&".join(f"k{i}=v{i}" for i in range(200))  # as sets these would be 2 ** 200
     pages = [(i, f"http://a.info/{i}?{query if i % 5 == 0 else 'k1=v1'}") for i in range(500)] + [(9000, "http://a.info/9?" + query[:20]), (9001, "http://x.info/?k7=v7")]
     pages += [(0, pages[0][1])] * 300  # copies of one row
-    assert judged(spark, pages, [(i, int(i % 5 != 0), 0) for i in range(400)]) == {i for i, u in pages if "k7=v7" in u}
+    assert judged(spark, pages, [(i, int(i % 5 != 0), 0) for i in range(400)]) == {i for i, u in pages if "k2=v2" in u or "k7=v7" in u}  # any of the tokens tells as much as all
 
 
 def test_very_long_and_odd_urls(spark):
