@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", partitions: int = 8, app: str = "tether") -> SparkSession:
@@ -37,3 +39,14 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(package.parent))
     context.addPyFile(str(folder / "tether_package.zip"))
     context._tether_shipped = True
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """query, with this package sent to the workers first."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args, **named) -> DataFrame:
+        ship(spark)
+        return query(spark, *args, **named)
+
+    return run
