@@ -67,6 +67,25 @@ def test_classes_come_in_parts(spark, monkeypatch):
     assert sorted(x.k for r in parts.collect() for x in r.left_rows) == list(range(100))
 
 
+@pytest.mark.parametrize("ids", [["left_id"], ["left_id", "left_npi"]])
+def test_pairs_are_listed_in_batches(spark, monkeypatch, ids):
+    """A slice of left rows, and no more, comes to the code that keeps its pairs in memory."""
+    monkeypatch.setattr(classes, "BATCH", 100)
+    rows = spark.range(90).selectExpr("nullif(id, 7) AS left_id", "nullif(id % 40, 3) AS left_npi", "id % 40 = 0 AS v").select(*ids, "v")
+    theirs = spark.range(57).selectExpr("id AS right_id", "id < 50 AS w")
+    a, b = classes.classes(rows, ids, "left"), classes.classes(theirs, ["right_id"], "right")
+    met = a.select("left_class", "v").crossJoin(b.select("right_class", "w"))
+    seen, own = [], classes.batches
+    monkeypatch.setattr(classes, "batches", lambda pairs: seen.append(own(pairs)) or seen[-1])
+    got = classes.listed(met, a, b)
+    assert rows_of(got) == rows_of(rows.crossJoin(theirs).select(*ids, "right_id", "v", "w"))
+    sizes = seen[0].select(F.size("left_rows").alias("n"), F.size("right_rows").alias("m")).collect()
+    assert max(r.n * r.m for r in sizes) <= 100 and {r.n for r in sizes if r.m == 50} == {1, 2}
+    # the slices are made outside of generated code: a generated stage of their own would pass on all pairs of a class at once
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "explode(transform" in plan
+
+
 @pytest.fixture(scope="module")
 def mirrored(tmp_path_factory):
     """Equal parts on both sides: twelve copies of 40, 420 copies of two (more than the first right ids of a bucket), and keys that come twice."""
