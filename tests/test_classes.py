@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tether.operators import blocking, classes, features
-from tether.plans import catalogue
+from tether.plans import catalogue, linking
 
 QUERIES, SQL = catalogue.queries(), catalogue.oracle_sql()
 
@@ -119,6 +119,17 @@ def test_candidates_of_equal_rows(spark, request, monkeypatch, name, table):
     assert seen and all(n * 3 < len(expected) or not n for n in seen)
 
 
+def test_passes_share_their_classes(spark, mirrored, monkeypatch):
+    """orc_2 and agg_22 make the token classes of a side once, and count every pass's pairs whole."""
+    folder, duck = mirrored
+    seen, own = [], blocking.token_classes
+    monkeypatch.setattr(blocking, "token_classes", lambda rows, side: seen.append(side) or own(rows, side))
+    got = {r["pass"]: r["count"] for r in linking.all_candidates(spark, folder).groupBy("pass").count().collect()}
+    assert seen == ["left", "right"]
+    want = dict(duck.execute(f"SELECT pass, count(*) FROM ({linking.UNION_SQL}) u GROUP BY pass").fetchall())
+    assert got == want | dict(duck.execute(f"SELECT pass, count(*) FROM ({SQL['blk_1']}) u GROUP BY pass").fetchall())  # distinct pairs
+
+
 def test_lsh_crowds_count_rows(spark):
     """A class counts as many rows as it has, or as their sizes say."""
     rows = lambda n: spark.range(n).selectExpr("cast(id as string) id", "'S' state", "array('a', 'b', 'c') tokens")
