@@ -1,11 +1,13 @@
 """Queries of pairs on tables of many equal rows: the work is that of the distinct ones, the result is whole."""
 
+import threading
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tether.operators import blocking, classes, features
-from tether.plans import catalogue, linking
+from tether.plans import catalogue, linking, roles
 
 QUERIES, SQL = catalogue.queries(), catalogue.oracle_sql()
 
@@ -137,3 +139,23 @@ def test_lsh_crowds_count_rows(spark):
     assert [found(rows(6), rows(6)), found(rows(7), rows(6)), found(rows(6), rows(7))] == [36, 0, 0]
     sized = rows(2).withColumn("size", F.col("id").cast("long") + 3)
     assert [found(sized, rows(6)), found(sized.where("id = 1"), rows(6))] == [0, 6]
+
+
+def test_preparation_of_pairs(spark, copies, monkeypatch):
+    """The table is opened once, a side is dealt by id once, the classes of both sides are made at the same time, and only the features asked for are built."""
+    opened, table = [], roles.table
+    for module in (roles, linking):
+        monkeypatch.setattr(module, "table", lambda *a: opened.append(a[2]) or table(*a))
+    both, made, own = threading.Barrier(2, timeout=60), [], classes.classes
+
+    def meet(rows, *a):
+        made.append(rows)
+        both.wait()
+        return own(rows, *a)
+
+    monkeypatch.setattr(classes, "classes", meet)
+    monkeypatch.setattr(features.S, "overlap_ratio", lambda *a: pytest.fail("not asked for"))
+    folder, duck = copies
+    assert QUERIES["ft_33"](spark, folder).count() == len(duck.execute(SQL["ft_33"]).fetchall())
+    assert opened == ["part"]
+    assert [rows._jdf.queryExecution().executedPlan().toString().count("Exchange ") for rows in made] == [1, 1]
