@@ -172,6 +172,28 @@ def test_pipeline(spark):
     assert len(clean & {r.doc_id for r in outs[1].collect()}) >= 0.95 * len(clean)
 
 
+def test_stages_on_texts_that_are_no_utf8(spark, tmp_path):
+    """Strings with such bytes pass all stages: each stays itself, and a near-copy of it is one."""
+    rng = random.Random(5)
+    words = [" ".join(prose(rng, 60, 4000).split()) for _ in range(20)]
+    rows = [(i, t.encode()) for i, t in enumerate(words)] + [(30, words[0].encode() + b" caf\xe9"), (31, words[1].encode() + b" \xff\xc3"), (32, b"\xe9 \xe8 " * 30), (33, b"\xe8 \xe9 \xe8 " * 30)]
+    raw = spark.createDataFrame(rows, "doc_id long, text binary").selectExpr("doc_id", "cast(text AS string) AS text", "'en' AS lang", "'a' AS source")
+    raw.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(20).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    want = {"SimHash near-duplicates": {*range(20), 32, 33}, "best-fit packing": {r[0] for r in rows}}
+    machine = quality_classifier.fit(docs, table(spark, str(tmp_path), "labels"))
+    want["quality classifier"] = {i for i, t in rows if machine.score(*machine.inputs(*quality_classifier.features(t))) >= 0.5}
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path)).selectExpr("doc_id", "length" if name == "best-fit packing" else "cast(text AS binary)").collect()
+        if name in want:
+            assert {r.doc_id for r in got} == want[name]
+        if name == "quality classifier":  # the bytes stay as they were
+            assert all(bytes(r.text) == dict(rows)[r.doc_id] for r in got)
+    for text in words[:3] + ["gr\u00fc\u00dfe \u4e2d\u6587 \u20ac", ""]:
+        assert all((a == b).all() for a, b in zip(quality_classifier.features(text), quality_classifier.features(text.encode()), strict=True))
+
+
 def lowered(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
 

@@ -13,7 +13,7 @@ than pairs at 0.8 do). Groups of over CROWD classes are dealt anew into tables o
 longer keys first. Groups of near-copies are the connected components of the links that hold.
 
 Defined results: words are compared without regard to ASCII case; a text of at most five words is one shingle; null texts
-and texts without words are equal; very long texts are compared whole; the row with the smallest doc_id of a group is kept,
+and texts without words are equal; very long texts are compared whole, bytes that are no UTF-8 as they are; the row with the smallest doc_id of a group is kept,
 one without doc_id only if none has one, then that of the smallest text hash; so every group keeps one row, whether ids are
 null or repeated, and different texts under one doc_id all stay; repeated rows of the kept text leave one of them, any; an
 empty table gives an empty result; other columns stay as they are, and may have any name but ``__key``.
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, text_bytes
 from .components import components
 from .simhash_dedup import _LOWER, Forest, shard_links, trie_join
 from .tables import Tables, bits_of, mixed
@@ -97,9 +97,10 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | bytes | None) -> np.ndarray:
     """Sorted hashes of the text's distinct five-word shingles, one at least."""
-    words = word_hashes((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
+    data = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+    words = word_hashes(data.translate(_LOWER))
     n = max(1, len(words) - SHINGLE + 1)
     total = np.full(n, min(len(words), SHINGLE), np.uint64)
     for i in range(min(SHINGLE, len(words))):
@@ -198,8 +199,8 @@ def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (node, f1, f2, component, n, text) to (key, node, f1, f2, packed), once for a group of at most CROWD, else once a table."""
     for batch in batches:
-        names = ("node", "f1", "f2", "component", "n", "text")
-        for node, f1, f2, component, n, text in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+        names = ("node", "f1", "f2", "component", "n")
+        for node, f1, f2, component, n, text in zip(*(batch.column(c).to_pylist() for c in names), text_bytes(batch.column("text")), strict=True):
             # near-copies agree in most bits, so that a bit halves a shard but half the way
             bits = 0 if n <= CROWD else min(40, math.ceil(2 * math.log2(n / CROWD)))
             keys = TABLES.keys(bits_of(np.array([[f1, f2]], np.int64)), bits, np.array([component], np.uint64))[0]
@@ -237,7 +238,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(x.as_py()) for x in batch.column("text")]
+            sets = [shingles(x) for x in text_bytes(batch.column("text"))]
             words = np.array([wide_fingerprint(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
             hashes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
             columns = [batch.column("doc_id"), batch.column("t"), hashes, pa.array(words[:, 0]), pa.array(words[:, 1])]

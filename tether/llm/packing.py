@@ -7,7 +7,7 @@ finds the fullest combination beside it; the combination is used as often as its
 then take their places by their rank among those of their length, counted in short windows.
 
 Defined results: a null text counts as empty (only the end id, length 1); very long texts are cut into pieces, all of which are
-packed; null doc_ids and repeated rows are packed like others; pieces of one length are interchangeable; an empty table gives
+packed; bytes that are no UTF-8 count as replacement characters; null doc_ids and repeated rows are packed like others; pieces of one length are interchangeable; an empty table gives
 an empty result; other columns, whatever their names, are ignored.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import materialize, table
+from .common import materialize, table, texts
 from .tokenize import SpacedBpe, encoder
 
 MODEL = "byte_bpe_50k.json"
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
         words = encoder(SpacedBpe, tokenizer)
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(words.each(batch.column("text").to_pylist())):
+            for i, ids in enumerate(words.each(texts(batch.column("text")))):
                 ids, at = memoryview(ids + tail), 0
                 for k, n in enumerate(cut(len(ids) // 4, capacity)):
                     row.append(i)

@@ -7,7 +7,8 @@ held-out third, chosen by a hash of doc_id; scoring covers every whole text.
 
 Only the text is an input: label, lang, source and doc_id never are. doc_id only decides who is held out.
 
-Defined results: null and empty texts are scored from their (zero) statistics; very long texts are read whole; a null doc_id
+Defined results: null and empty texts are scored from their (zero) statistics; very long texts are read whole, bytes that are
+no UTF-8 as they are; a null doc_id
 is not held out and never trains; if a doc_id has several labels the lowest counts, and if it has several texts the one whose
 features come first trains; without labels every score is 0.5; a score of 0.5 counts as label 1; repeated rows are scored
 alike; an empty table gives an empty result; other columns, whatever their names, are ignored by ``score`` and stay as they
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, text_bytes
 
 #: Slots of hashed words; a power of two.
 SLOTS = 1 << 14
@@ -34,6 +35,8 @@ FACTORS = 6
 #: Labelled rows that train the model at most.
 SAMPLE = 12_000
 _SYMBOLS, _CAPITALS, _DIGITS = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
+#: Bytes that begin no character.
+_CONTINUING = bytes(range(0x80, 0xC0))
 _MARKS = b".,;:!?\"'()[]{}-_/\\@^~`+="
 STATISTICS = (
     "log_words",
@@ -54,9 +57,9 @@ STATISTICS = (
 )
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(text: str | bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Slots (sorted) and their word counts, and the statistics, of a whole text."""
-    data = (text or "").encode("utf-8", "surrogatepass")
+    data = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
     found = Counter(data.split())
     n = sum(found.values())
     size = len(data) - data.count(b" ") - data.count(b"\n") or 1
@@ -66,7 +69,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         [
             np.log1p(n),
             np.log1p(len(data)),
-            len(data) / max(1, len(text or "")),
+            len(data) / max(1, len(data.translate(None, _CONTINUING))),
             size / max(1, n),
             share(_SYMBOLS),
             share(_CAPITALS),
@@ -167,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(x.as_py()) for x in batch.column("text")]
+            rows = [features(x) for x in text_bytes(batch.column("text"))]
             packed = [r[0].astype("<u2").tobytes() + r[1].astype("<f4").tobytes() + r[2].astype("<f4").tobytes() for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("quality"), pa.array([len(r[0]) for r in rows], pa.int32()), pa.array(packed, pa.binary())],
@@ -193,7 +196,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            scores = [m.score(*m.inputs(*features(x.as_py()))) for x in batch.column("text")]
+            scores = [m.score(*m.inputs(*features(x))) for x in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     scored = docs.select("doc_id", "text").mapInArrow(apply, f"doc_id {kind}, score double")
@@ -212,7 +215,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, known: D
         m = shared.value
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            kept = [m.score(*m.inputs(*features(x.as_py()))) >= 0.5 for x in batch.column(at)]
+            kept = [m.score(*m.inputs(*features(x))) >= 0.5 for x in text_bytes(batch.column(at))]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(good, docs.schema)
