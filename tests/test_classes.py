@@ -88,6 +88,15 @@ def test_pairs_are_listed_in_batches(spark, monkeypatch, ids):
     assert "explode(transform" in plan
 
 
+def test_rows_of_all_features_come_near_each_other(spark, copies):
+    """ft_all lists all pairs, and an id's rows in a few tasks, where they take little room."""
+    folder, duck = copies
+    got = QUERIES["ft_all"](spark, folder)
+    assert rows_of(got.select("left_id", "right_id", "left_npi", "x_cred", "b_n_years")) == rows_of(roles.role(spark, folder, roles.PAIRS).select("left_id", "right_id", "left_npi", "x_cred", "b_n_years"))
+    spread = got.select("right_id", F.spark_partition_id().alias("task")).groupBy("right_id").agg(F.count("*").alias("n"), F.countDistinct("task").alias("tasks")).collect()
+    assert max(r.n for r in spread) >= 12 and sum(r.tasks for r in spread) <= 2 * len(spread)
+
+
 @pytest.fixture(scope="module")
 def mirrored(tmp_path_factory):
     """Equal parts on both sides: twelve copies of 40, 420 copies of two (more than the first right ids of a bucket), and keys that come twice."""
