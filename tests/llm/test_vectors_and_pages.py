@@ -97,6 +97,20 @@ def pairs_at(rng, n, cosine, size=64):
     return x, cosine * x + np.sqrt(1 - cosine**2) * y
 
 
+def test_the_sorted_line_and_the_tables_leave_next_to_no_pair_out():
+    """Of planted links just above the threshold, as good as all count in a cell, and as good as all meet in a cell."""
+    x, y = pairs_at(np.random.default_rng(5), 2000, 0.9301)
+    found = np.zeros(2000, bool)
+    for i, j in embedding_dedup.verified_links(np.concatenate([x, y])):
+        low, high = np.minimum(i, j), np.maximum(i, j)
+        found[low[high == low + 2000]] = True
+    assert found.sum() >= 1995
+    signs = [embedding_dedup.projected(v)[0] for v in (x, y)]
+    for bits in (2, 4, 8):
+        a, b = (embedding_dedup.tables().keys(s, bits, np.zeros(2000, np.uint64)) for s in signs)
+        assert (a == b).any(axis=1).sum() >= 1990
+
+
 def test_recall_at_the_threshold(spark):
     """5,000 planted links at cosines from 0.9301 up among 20,000 vectors of one label, with its hot cells: at least 0.95 are found."""
     rng = np.random.default_rng(1)
